@@ -1,0 +1 @@
+"""Empty on purpose: every job here is a batch rebuild of a daily panel."""

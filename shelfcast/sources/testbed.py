@@ -151,6 +151,6 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Raw:
         .agg(F.sum("cents").alias("paid"), F.sum("sales").alias("units"))
         # Whole cents per unit, rounded half up in integers, so no engine can differ.
         .select("store_id", "item_id", "wm_yr_wk",
-                (F.expr("(2 * paid + units) div (2 * units)") / 100.0).alias("sell_price"))
+                (F.expr("(2 * paid + units) div nullif(2 * units, 0)") / 100.0).alias("sell_price"))
     )
     return Raw(sales, calendar(demand), prices)

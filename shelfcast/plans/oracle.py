@@ -254,6 +254,88 @@ CTES: dict[str, str] = {
         SELECT 'lgbm_point' AS col, sum(weight * lgbm_point) / sum(weight) AS WRMSSE FROM rmsse
         UNION ALL SELECT 'dual_point', sum(weight * dual_point) / sum(weight) FROM rmsse
         UNION ALL SELECT 'ensemble_point', sum(weight * ensemble_point) / sum(weight) FROM rmsse""",
+    "holidays": """
+        SELECT y, unnest([
+            {'holiday': 'NewYear', 'day': make_date(y, 1, 1), 'lo': -1, 'hi': 1},
+            {'holiday': 'MLK', 'day': mlk, 'lo': 0, 'hi': 0},
+            {'holiday': 'PresidentsDay', 'day': pres, 'lo': 0, 'hi': 0},
+            {'holiday': 'Easter', 'day': make_date(y, CAST(k // 31 AS INTEGER), CAST(k % 31 + 1 AS INTEGER)), 'lo': 0, 'hi': 0},
+            {'holiday': 'MemorialDay', 'day': mem, 'lo': -1, 'hi': 0},
+            {'holiday': 'IndependenceDay', 'day': make_date(y, 7, 4), 'lo': -1, 'hi': 1},
+            {'holiday': 'LaborDay', 'day': lab, 'lo': -1, 'hi': 0},
+            {'holiday': 'Thanksgiving', 'day': thx, 'lo': -2, 'hi': 1},
+            {'holiday': 'Christmas', 'day': make_date(y, 12, 25), 'lo': -3, 'hi': 2},
+            {'holiday': 'SuperBowl', 'day': bowl, 'lo': -1, 'hi': 0},
+            {'holiday': 'ValentinesDay', 'day': make_date(y, 2, 14), 'lo': -1, 'hi': 0},
+            {'holiday': 'Halloween', 'day': make_date(y, 10, 31), 'lo': -1, 'hi': 0}]) AS h
+        FROM (SELECT *, h0 + l0 - 7 * ((g + 11 * h0 + 22 * l0) // 451) + 114 AS k,
+                make_date(y, 1, 15) + CAST((8 - isodow(make_date(y, 1, 15))) % 7 AS INTEGER) AS mlk,
+                make_date(y, 2, 15) + CAST((8 - isodow(make_date(y, 2, 15))) % 7 AS INTEGER) AS pres,
+                make_date(y, 5, 25) + CAST((8 - isodow(make_date(y, 5, 25))) % 7 AS INTEGER) AS mem,
+                make_date(y, 9, 1) + CAST((8 - isodow(make_date(y, 9, 1))) % 7 AS INTEGER) AS lab,
+                make_date(y, 11, 22) + CAST((11 - isodow(make_date(y, 11, 22))) % 7 AS INTEGER) AS thx,
+                make_date(y, 2, 1) + CAST((14 - isodow(make_date(y, 2, 1))) % 7 AS INTEGER) AS bowl
+        FROM (SELECT *, (32 + 2 * (c % 4) + 2 * ((y % 100) // 4) - h0 - (y % 4)) % 7 AS l0
+        FROM (SELECT *, (19 * g + c - c // 4 - (c - (c + 8) // 25 + 1) // 3 + 15) % 30 AS h0
+        FROM (SELECT *, y % 19 AS g, y // 100 AS c
+        FROM (SELECT unnest(generate_series(year(lo) - 1, year(hi) + 1)) AS y FROM bounds)))))""",
+    "holiday_days": """
+        SELECT CAST(h.day + CAST(o AS INTEGER) AS DATE) AS date, h.holiday AS holiday, CAST(o AS INTEGER) AS "offset"
+        FROM (SELECT h, unnest(generate_series(h.lo, h.hi)) AS o FROM holidays)""",
+    "holiday_keys": """
+        SELECT date, string_agg(k, '+' ORDER BY k) AS hk
+        FROM (SELECT DISTINCT date, holiday || ':' || "offset" AS k FROM holiday_days) GROUP BY date""",
+    # The panel with 28 empty days after each series; empty days change no fitted value.
+    "extended": """
+        SELECT id, date, CAST(sales AS DOUBLE) AS y FROM panel
+        UNION ALL SELECT id, CAST(unnest(generate_series(hi + 1, hi + 28, INTERVAL 1 DAY)) AS DATE), NULL
+        FROM (SELECT id, max(date) AS hi FROM panel GROUP BY id)""",
+    "trend_sums": """
+        SELECT e.*, hk, row_number() OVER w AS rn, coalesce(sum(y) OVER w, 0) AS cum,
+               count(y) OVER (PARTITION BY id) AS n, sum(y) OVER (PARTITION BY id) AS total
+        FROM extended e LEFT JOIN holiday_keys k ON k.date = e.date WINDOW w AS (PARTITION BY id ORDER BY e.date)""",
+    "trends": """
+        SELECT *, CASE WHEN rn <= n THEN (coalesce(ahead, total) - coalesce(behind, 0)) / (least(rn + 182, n) - greatest(rn - 183, 0))
+                       ELSE greatest(intercept + slope * rn, 0) END AS trend
+        FROM (SELECT *, lead(cum, 182) OVER w AS ahead, lag(cum, 183) OVER w AS behind,
+                     regr_slope(CASE WHEN rn > n - 182 THEN y END, rn) OVER (PARTITION BY id) AS slope,
+                     regr_intercept(CASE WHEN rn > n - 182 THEN y END, rn) OVER (PARTITION BY id) AS intercept,
+                     datediff('day', DATE '1970-01-01', date) * 2 % 61 // 2 AS cycle
+              FROM trend_sums WHERE n >= 60 WINDOW w AS (PARTITION BY id ORDER BY date))""",
+    "weekly": """
+        SELECT *, y / nullif(trend, 0) AS ratio,
+               (coalesce(sum(y / nullif(trend, 0)) OVER w, 0) + 5) / (count(y / nullif(trend, 0)) OVER w + 5) AS fw
+        FROM trends WINDOW w AS (PARTITION BY id, isodow(date))""",
+    "yearly": """
+        SELECT *, (coalesce(sum(ratio / fw) OVER w, 0) + 5) / (count(ratio) OVER w + 5) AS fy
+        FROM weekly WINDOW w AS (PARTITION BY id, month(date))""",
+    "monthly": """
+        SELECT *, (coalesce(sum(ratio / fw / fy) OVER w, 0) + 5) / (count(ratio) OVER w + 5) AS fm
+        FROM yearly WINDOW w AS (PARTITION BY id, cycle)""",
+    "products": """
+        SELECT *, trend * fw * fy * fm * CASE WHEN hk IS NULL THEN 1 ELSE
+               (coalesce(sum(ratio / fw / fy / fm) OVER w, 0) + 5) / (count(ratio) OVER w + 5) END AS point
+        FROM monthly WINDOW w AS (PARTITION BY id, hk)""",
+    "decomposed": """
+        SELECT id, date, rn > n AS ahead_of_data, round(greatest(point, 0), 4) AS prophet_point,
+               round(greatest(point * quantile_cont(y / nullif(point, 0), 0.1) OVER w, 0), 4) AS prophet_lower,
+               round(greatest(point * quantile_cont(y / nullif(point, 0), 0.9) OVER w, 0), 4) AS prophet_upper,
+               round(trend, 4) AS trend
+        FROM products WINDOW w AS (PARTITION BY id)""",
+    "steps": """
+        SELECT id, date, y, rn, before, step, lag(step) OVER w AS a, lag(step, 7) OVER w AS b, lag(step, 8) OVER w AS c
+        FROM (SELECT id, date, CAST(sales AS DOUBLE) AS y, row_number() OVER w AS rn, lag(sales) OVER w AS before,
+                     CAST(sales - lag(sales) OVER w AS DOUBLE) AS step FROM panel WINDOW w AS (PARTITION BY id ORDER BY date))
+        WINDOW w AS (PARTITION BY id ORDER BY date)""",
+    # Three regressors, solved by determinants.
+    "ar_fit": """
+        SELECT id, (ya * (bb * cc - bc * bc) - ab * (yb * cc - bc * yc) + ac * (yb * bc - bb * yc)) / det AS wa,
+               (aa * (yb * cc - bc * yc) - ya * (ab * cc - bc * ac) + ac * (ab * yc - yb * ac)) / det AS wb,
+               (aa * (bb * yc - yb * bc) - ab * (ab * yc - yb * ac) + ya * (ab * bc - bb * ac)) / det AS wc
+        FROM (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det
+              FROM (SELECT id, sum(a * a) aa, sum(a * b) ab, sum(a * c) ac, sum(b * b) bb, sum(b * c) bc, sum(c * c) cc,
+                           sum(step * a) ya, sum(step * b) yb, sum(step * c) yc
+                    FROM steps WHERE rn >= 10 GROUP BY id))""",
 }
 
 

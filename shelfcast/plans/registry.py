@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.errors import mae, model_label, rmse, series_label, smape
-from shelfcast.operators import classify, features, reshape, scoring, serving
+from shelfcast.operators import boosted, classify, decompose, dual, features, reshape, scoring, seasonal_arima, sequence, serving
 from shelfcast.operators.baselines import naive_forecast
 from shelfcast.operators.blend import AVAILABILITY, active_ids
+from shelfcast.plans import jobs
 from shelfcast.plans.oracle import with_steps
 from shelfcast.plans.tables import Tables
+from shelfcast.sources import raw_files
+from shelfcast.sources.staging import new_path, stage
+from shelfcast.sources.store import TableStore, table_counts
 
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -71,7 +75,6 @@ def _(t):
     UNION ALL SELECT 'raw_calendar', count(*) FROM calendar UNION ALL SELECT 'raw_prices', count(*) FROM prices
     UNION ALL SELECT 'master', count(*) FROM master UNION ALL SELECT 'demand_classes', count(*) FROM classes""")
 def _(t):
-    from shelfcast.sources.store import table_counts
     return table_counts({"raw_sales": t.raw.sales, "raw_calendar": t.raw.calendar, "raw_prices": t.raw.prices,
                          "master": t.master, "demand_classes": t.classes})
 
@@ -509,3 +512,203 @@ def _(t):
     FROM (SELECT *, date >= (SELECT max(date) FROM blended) - 28 AS now FROM blended WHERE date >= (SELECT max(date) FROM blended) - 57)""")
 def _(t):
     return serving.kpi_change(t.blended)
+
+
+# ---- forecasts -------------------------------------------------------------------------
+
+@query("holiday_windows", 'SELECT date, holiday, "offset" FROM holiday_days')
+def _(t):
+    return decompose.expand_holidays(decompose.holiday_days(t.raw.calendar))
+
+
+_POINTS = "prophet_point, prophet_lower, prophet_upper"
+_POINT_COLS = ["prophet_point", "prophet_lower", "prophet_upper"]
+
+
+@query("decompose_forecast", f"SELECT id, date, {_POINTS} FROM decomposed WHERE NOT ahead_of_data")
+def _(t):
+    fitted = decompose.decompose(t.panel, decompose.holiday_days(t.panel))
+    return rounded(fitted.select("id", "date", *_POINT_COLS), *_POINT_COLS, places=4)
+
+
+@query("decompose_ahead", f"SELECT id, date, {_POINTS}, trend FROM decomposed WHERE ahead_of_data")
+def _(t):
+    ahead = decompose.decompose(t.panel, decompose.holiday_days(t.panel), horizon=28)
+    return rounded(ahead, *_POINT_COLS, "trend", places=4)
+
+
+@query("trend_component", "SELECT id, date, trend FROM decomposed")
+def _(t):
+    days = decompose.holiday_days(t.panel)
+    both = decompose.decompose(t.panel, days).unionByName(decompose.decompose(t.panel, days, horizon=28))
+    return rounded(both.select("id", "date", "trend"), "trend", places=4)
+
+
+@query("future_dates", """
+    SELECT id, CAST(unnest(generate_series(max(date) + 1, max(date) + 28, INTERVAL 1 DAY)) AS DATE) AS date FROM panel GROUP BY id""")
+def _(t):
+    return decompose.future_dates(t.raw_panel, 28)
+
+
+@query("seasonal_ar", """
+    SELECT id, date, round(greatest(coalesce(before, 0) + coalesce(a, 0) * wa + coalesce(b, 0) * wb + coalesce(c, 0) * wc, 0), 4) AS sarima_point
+    FROM steps JOIN ar_fit USING (id)""")
+def _(t):
+    return rounded(seasonal_arima.seasonal_arima(t.panel, order=(1, 1, 0), seasonal=(1, 0, 0, 7)), "sarima_point", places=4)
+
+
+@query("seasonal_arima")
+def _(t):
+    return seasonal_arima.seasonal_arima(t.panel)
+
+
+@query("seasonal_arima_ahead")
+def _(t):
+    return seasonal_arima.seasonal_arima_forecast(t.panel)
+
+
+@query("order_search")
+def _(t):
+    return seasonal_arima.order_search(t.panel)
+
+
+@query("quantile_levels", """
+    SELECT store_id, day_of_week, quantile_cont(sales, 0.1) AS q10, quantile_cont(sales, 0.5) AS q50, quantile_cont(sales, 0.9) AS q90
+    FROM usable GROUP BY store_id, day_of_week""")
+def _(t):
+    usable = features.add_lags(features.add_calendar(t.master)).filter(F.col("sales_lag_56").isNotNull())
+    return boosted.leaf_quantiles(usable, ["store_id", "day_of_week"])
+
+
+@query("boosted_point")
+def _(t):
+    model = boosted.fit_boosted(t.staged_features, rounds=10, quantiles=None)
+    return boosted.predict_boosted(model, t.staged_features)
+
+
+@query("quantile_band")
+def _(t):
+    matrix, _codes, _names = boosted.model_matrix(t.staged_features, val_days=28)
+    matrix = stage(matrix, "matrix")
+    tree, band = boosted.fit_band(matrix.filter(~F.col("is_val")))
+    scored = tree.transform(matrix).join(F.broadcast(band), "leaf", "left")
+    return scored.select("id", "date", *[F.round(F.greatest(q, F.lit(0.0)), 3).alias(f"lgbm_{q}") for q in ("q10", "q50", "q90")])
+
+
+@query("feature_importance")
+def _(t):
+    model = boosted.fit_boosted(t.staged_features, rounds=10, quantiles=None)
+    return boosted.feature_importance(t.spark, model, 20)
+
+
+@query("dual_forecast")
+def _(t):
+    """Chance, size and product for the series routed to the two-part model."""
+    ids = t.routing.filter(F.col("model") == "dual_phase")
+    model = dual.fit_dual(t.staged_features, ids, rounds=10)
+    return dual.predict_dual(model, t.staged_features, ids)
+
+
+@query("dual_product", """
+    SELECT id, date, round(least(rolling_nonzero_rate_28, 1), 4) AS dual_occurrence_prob, round(rolling_mean_28, 4) AS dual_magnitude,
+           round(least(rolling_nonzero_rate_28, 1) * rolling_mean_28, 4) AS dual_point FROM usable""")
+def _(t):
+    """The product and its rounding, on a chance and a size that need no fit."""
+    usable = t.features.filter(F.col("sales_lag_56").isNotNull())
+    return usable.select("id", "date", F.round("rolling_nonzero_rate_28", 4).alias("dual_occurrence_prob"),
+                         F.round("rolling_mean_28", 4).alias("dual_magnitude"),
+                         F.round(F.col("rolling_nonzero_rate_28") * F.col("rolling_mean_28"), 4).alias("dual_point"))
+
+
+@query("scaling_stats", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM usable" for c in sequence.SEQUENCE_COLS))
+def _(t):
+    usable = t.features.filter(F.col("sales_lag_56").isNotNull())
+    return rounded(sequence.scaling_stats(usable, sequence.SEQUENCE_COLS), "mean", "std")
+
+
+@query("sequence_windows", """
+    SELECT id, date, target, CAST(56 AS INTEGER) AS size, CAST(total AS DOUBLE) AS total, CAST(oldest AS DOUBLE) AS oldest
+    FROM (SELECT id, date, CAST(sales AS DOUBLE) AS target, row_number() OVER w AS rn,
+                 sum(sales_lag_7 + day_of_week) OVER (w ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS total,
+                 lag(sales_lag_7, 28) OVER w AS oldest
+          FROM usable WINDOW w AS (PARTITION BY id ORDER BY date)) WHERE rn > 28 AND (rn - 29) % 7 = 0""")
+def _(t):
+    usable = features.add_calendar(features.add_lags(t.master)).filter(F.col("sales_lag_56").isNotNull())
+    windows = sequence.sequence_windows(usable, ["sales_lag_7", "day_of_week"], stride=7)
+    return windows.select("id", "date", "target", F.size("window").alias("size"),
+                          F.aggregate("window", F.lit(0.0), lambda a, v: a + v).alias("total"), F.col("window")[0].alias("oldest"))
+
+
+@query("sequence_forecast")
+def _(t):
+    model = sequence.fit_sequence(t.staged_features)
+    return sequence.predict_sequence(model, t.staged_features)
+
+
+@query("fitted_model_comparison")
+def _(t):
+    """All five fitted models on their routed series, blended and scored."""
+    preds = jobs.fit_and_predict(t.staged_features, t.panel, t.classes, rounds=5)
+    return jobs.blend_and_score(t.master, preds, t.classes)[1]
+
+
+# ---- files and tables ------------------------------------------------------------------
+
+@query("csv_ingest", "SELECT * FROM master WHERE store_id = 'ALL'")
+def _(t):
+    """The type-level series written as raw files (one column per day), then read and built again."""
+    folder = new_path(t.spark, "raw_files")
+    wide = t.raw.sales.filter(F.col("store_id") == "ALL")
+    raw_files.write_raw(folder, wide, t.raw.calendar, t.raw.prices)
+    return jobs.master_from_files(t.spark, folder)
+
+
+@query("melt_wide_sales", "SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales FROM panel")
+def _(t):
+    return reshape.melt_sales(raw_files.widen(t.raw.sales))
+
+
+def _store(t) -> TableStore:
+    return TableStore(t.spark, new_path(t.spark, "tables"))
+
+
+@query("table_replace", "SELECT * FROM classes")
+def _(t):
+    """Written twice, then with no rows, which keeps the table."""
+    store = _store(t)
+    store.replace("demand_classes", t.classes.limit(1))
+    store.replace("demand_classes", t.classes)
+    store.replace("demand_classes", t.classes.filter(F.lit(False)))
+    return store.read("demand_classes")
+
+
+@query("table_append", "SELECT id, demand_class FROM classes")
+def _(t):
+    store = _store(t)
+    kept = t.classes.select("id", "demand_class")
+    store.replace("some", kept.filter(F.col("store_id") == "ALL") if "store_id" in kept.columns else kept.filter(F.col("id").endswith("_ALL")))
+    store.append("some", kept.filter(~F.col("id").endswith("_ALL")).select("demand_class", "id"))
+    return store.read("some")
+
+
+@query("table_cached", "SELECT id, date, sales FROM master")
+def _(t):
+    """The second call reads the stored table."""
+    store = _store(t)
+    store.cached("panel", lambda: t.raw_panel)
+    return store.cached("panel", lambda: t.raw_panel.limit(0))
+
+
+@query("report_sink", _COMPARISON)
+def _(t):
+    path = _store(t).report("model_comparison", scoring.model_comparison(t.blended, t.master))
+    return t.spark.read.option("header", True).schema(
+        "model string, col string, n_series bigint, n_rows bigint, RMSE double, MAE double, SMAPE double, WRMSSE double").csv(path)
+
+
+@query("weights_round_trip", "SELECT demand_class, model, weight FROM weights")
+def _(t):
+    store = _store(t)
+    store.replace("blend_weights", t.weights)
+    return store.read("blend_weights")

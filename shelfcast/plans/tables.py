@@ -36,6 +36,15 @@ class Tables:
     def master(self) -> DataFrame:
         return build_master(self.raw.sales, self.raw.calendar, self.raw.prices)
 
+    @cached_property
+    def panel(self) -> DataFrame:
+        """Series, day and sales only, for the models that need no features."""
+        return stage(self.raw_panel, "panel")
+
+    @cached_property
+    def raw_panel(self) -> DataFrame:
+        return self.master.select("id", "date", "sales")
+
     @cached_property
     def features(self) -> DataFrame:
         return build_features(self.master)

@@ -95,7 +95,8 @@ def decompose(panel: DataFrame, holidays: DataFrame, horizon: int = 0, min_rows:
     line = F.greatest(F.col("intercept") + F.col("slope") * rn, F.lit(0.0))
     point = F.col("trend") * F.col("weekly") * F.col("yearly") * F.col("monthly") * F.col("special")
     fitted = (
-        rows.join(keys, "date", "left")
+        # At most holidays x span x years rows, so every executor can hold them.
+        rows.join(F.broadcast(keys), "date", "left")
         .withColumns({
             "rn": F.row_number().over(by_series()), "cum": F.coalesce(F.sum("y").over(so_far()), F.lit(0.0)),
             "n": F.count("y").over(whole), "total": F.sum("y").over(whole)})

@@ -271,7 +271,7 @@ def _(t):
     SELECT id, date, sales AS actual FROM master WHERE id IN (SELECT id FROM pred_prophet UNION SELECT id FROM pred_sarima)""")
 def _(t):
     wanted = {c: t.preds[c] for c in ("prophet_point", "sarima_point")}
-    return reshape.keep_ids(t.master, active_ids(wanted)).select("id", "date", F.col("sales").alias("actual"))
+    return reshape.keep_ids(t.core, active_ids(wanted)).select("id", "date", F.col("sales").alias("actual"))
 
 
 @query("prediction_merge", "SELECT * FROM merged")
@@ -335,13 +335,13 @@ def _(t):
 @query("weight_scale_lookup", """
     SELECT id, round(lgbm_point, 6) AS lgbm_point, round(ensemble_point, 6) AS ensemble_point, round(weight, 2) AS weight FROM rmsse""")
 def _(t):
-    scored = scoring.series_rmsse(t.blended, t.master, ["lgbm_point", "ensemble_point"])
+    scored = scoring.series_rmsse(t.blended, t.core, ["lgbm_point", "ensemble_point"])
     return rounded(rounded(scored, "lgbm_point", "ensemble_point"), "weight", places=2)
 
 
 @query("wrmsse", "SELECT col, round(WRMSSE, 6) AS WRMSSE FROM wrmsse")
 def _(t):
-    return rounded(scoring.wrmsse(t.blended, t.master, scoring.SCALED_MODELS), "WRMSSE")
+    return rounded(scoring.wrmsse(t.blended, t.core, scoring.SCALED_MODELS), "WRMSSE")
 
 
 _COMPARISON = f"""
@@ -354,7 +354,7 @@ _COMPARISON = f"""
 
 @query("model_comparison", _COMPARISON)
 def _(t):
-    return scoring.model_comparison(t.blended, t.master)
+    return scoring.model_comparison(t.blended, t.core)
 
 
 @query("per_class_metrics", f"""
@@ -702,7 +702,7 @@ def _(t):
 
 @query("report_sink", _COMPARISON)
 def _(t):
-    path = _store(t).report("model_comparison", scoring.model_comparison(t.blended, t.master))
+    path = _store(t).report("model_comparison", scoring.model_comparison(t.blended, t.core))
     return t.spark.read.option("header", True).schema(
         "model string, col string, n_series bigint, n_rows bigint, RMSE double, MAE double, SMAPE double, WRMSSE double").csv(path)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators.baselines import feature_forecasts
 from shelfcast.operators.blend import apply_blend, blend_gram, ensemble_weights, merge_predictions
 from shelfcast.operators.classify import classify_demand, model_routing
-from shelfcast.operators.features import build_features
+from shelfcast.operators.features import add_demand, add_lags, add_rolling, build_features
 from shelfcast.operators.reshape import build_master
 from shelfcast.sources import testbed
 from shelfcast.sources.staging import stage
@@ -36,6 +36,11 @@ class Tables:
     def master(self) -> DataFrame:
         return build_master(self.raw.sales, self.raw.calendar, self.raw.prices)
 
+    @cached_property
+    def core(self) -> DataFrame:
+        """The columns of ``master`` that forecasts, blends and scores read, staged for their many scans."""
+        return stage(self.master.select(*testbed.IDS, "date", "sales", "sell_price"), "core")
+
     @cached_property
     def panel(self) -> DataFrame:
         """Series, day and sales only, for the models that need no features."""
@@ -66,7 +71,8 @@ class Tables:
         """Forecast tables of all model slots; the features under them are staged once."""
         needed = ["id", "date", "sales_lag_7", "sales_lag_14", "sales_lag_28", "sales_lag_56", "rolling_mean_7",
                   "rolling_mean_28", "rolling_min_7", "rolling_max_7", "rolling_nonzero_rate_28"]
-        return feature_forecasts(stage(self.features.select(*needed), "forecast_inputs"), self.classes)
+        inputs = add_demand(add_rolling(add_lags(self.core))).select(*needed)
+        return feature_forecasts(stage(inputs, "forecast_inputs"), self.classes)
 
     @cached_property
     def quantiles(self) -> DataFrame:
@@ -75,7 +81,7 @@ class Tables:
     @cached_property
     def merged(self) -> DataFrame:
         points = {c: p.select("id", "date", c) for c, p in self.preds.items()}
-        return stage(merge_predictions(self.master, points, self.classes), "merged")
+        return stage(merge_predictions(self.core, points, self.classes), "merged")
 
     @cached_property
     def gram(self) -> DataFrame:

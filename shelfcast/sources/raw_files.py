@@ -58,8 +58,7 @@ def widen(sales: DataFrame) -> DataFrame:
     """
     days = [r["d"] for r in sales.select("d").distinct()
             .orderBy(F.substring_index("d", "_", -1).cast("int")).collect()]
-    return sales.groupBy(*ID_COLS).agg(F.map_from_entries(F.collect_list(F.struct("d", "sales"))).alias("by_day")).select(
-        *ID_COLS, *[F.col("by_day")[d].alias(d) for d in days])
+    return sales.groupBy(*ID_COLS).pivot("d", days).agg(F.first("sales"))
 
 
 def write_raw(folder: str, sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> None:

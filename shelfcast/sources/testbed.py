@@ -47,21 +47,22 @@ def daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("units"),
              F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("paid"))
     )
+    # Both levels from the compact cells; names are made once per result row.
+    brand = F.col("p_brand").isNotNull()
     number = F.substring("p_brand", 7, 10).cast("int")
     brand_cat = F.concat(F.lit("CAT_"), (number % 2).cast("string"))
-    by_type = F.struct(
-        F.concat("p_type", F.lit("_ALL")).alias("id"), F.col("p_type").alias("item_id"),
-        F.lit("CAT_T_0").alias("dept_id"), F.lit("CAT_T").alias("cat_id"),
-        F.lit("ALL").alias("store_id"), F.lit("CA").alias("state_id"))
-    by_brand = F.struct(
-        F.concat("p_brand", F.lit("_"), "r_name").alias("id"), F.col("p_brand").alias("item_id"),
-        F.concat(brand_cat, F.lit("_"), (number % 3).cast("string")).alias("dept_id"),
-        brand_cat.alias("cat_id"), F.col("r_name").alias("store_id"), _state("r_regionkey").alias("state_id"))
     return (
-        cells.select(F.explode(F.array(by_type, by_brand)).alias("s"), "date", "units", "paid")
-        .select("s.*", "date", "units", "paid")
-        .groupBy(*IDS, "date")
+        cells.groupingSets([["p_type", "date"], ["p_brand", "r_regionkey", "r_name", "date"]],
+                           "p_type", "p_brand", "r_regionkey", "r_name", "date")
         .agg(F.sum("units").alias("sales"), F.sum("paid").alias("cents"))
+        .select(
+            F.when(brand, F.concat("p_brand", F.lit("_"), "r_name")).otherwise(F.concat("p_type", F.lit("_ALL"))).alias("id"),
+            F.when(brand, F.col("p_brand")).otherwise(F.col("p_type")).alias("item_id"),
+            F.when(brand, F.concat(brand_cat, F.lit("_"), (number % 3).cast("string"))).otherwise("CAT_T_0").alias("dept_id"),
+            F.when(brand, brand_cat).otherwise("CAT_T").alias("cat_id"),
+            F.when(brand, F.col("r_name")).otherwise("ALL").alias("store_id"),
+            F.when(brand, _state("r_regionkey")).otherwise("CA").alias("state_id"),
+            "date", "sales", "cents")
     )
 
 

@@ -25,39 +25,42 @@ CODE_ROWS = 20.0
 
 @dataclass
 class Codes:
-    """Mean sales per value of each category column, and the overall mean for new values."""
+    """Mean sales per value of each category column, and the overall mean for new values.
 
-    tables: dict[str, DataFrame]
+    ``table`` has rows (category, value, code).
+    """
+
+    table: DataFrame
     prior: float
 
     def save(self, path: str) -> None:
-        for name, table in self.tables.items():
-            table.write.mode("overwrite").parquet(f"{path}/{name}")
-        spark = next(iter(self.tables.values())).sparkSession
-        spark.createDataFrame([(self.prior,)], "prior double").write.mode("overwrite").parquet(f"{path}/prior")
+        self.table.write.mode("overwrite").parquet(f"{path}/table")
+        prior = self.table.sparkSession.createDataFrame([(self.prior,)], "prior double")
+        prior.write.mode("overwrite").parquet(f"{path}/prior")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Codes:
-        prior = spark.read.parquet(f"{path}/prior").first()[0]
-        return Codes({c: spark.read.parquet(f"{path}/{c}") for c in CATEGORY_COLS}, prior)
+        return Codes(spark.read.parquet(f"{path}/table"), spark.read.parquet(f"{path}/prior").first()[0])
 
 
 def fit_codes(train: DataFrame) -> Codes:
-    """Category codes from training rows; one pass to a row per series, then small sums."""
+    """Category codes from training rows: one pass to a row per series, then sums over those."""
     per_series = stage(train.groupBy("id", *CATEGORY_COLS).agg(
         F.sum(F.col("sales").cast("double")).alias("total"), F.count(F.lit(1)).alias("rows")), "series_totals")
-    prior = per_series.agg(F.sum("total") / F.sum("rows")).first()[0] or 0.0
+    prior = float(per_series.agg(F.sum("total") / F.nullif(F.sum("rows"), F.lit(0))).first()[0] or 0.0)
     mean = (F.sum("total") + prior * CODE_ROWS) / (F.sum("rows") + CODE_ROWS)
-    return Codes({c: stage(per_series.groupBy(c).agg(mean.alias(f"{c}_code")), f"codes_{c}") for c in CATEGORY_COLS},
-                 float(prior))
+    codes = (per_series.unpivot(["total", "rows"], CATEGORY_COLS, "category", "value")
+             .groupBy("category", "value").agg(mean.alias("code")))
+    return Codes(stage(codes, "codes"), prior)
 
 
 def with_codes(rows: DataFrame, codes: Codes) -> DataFrame:
     """Adds the codes.  Values are looked up per series, so a common item is no hot key."""
     series = rows.select("id", *CATEGORY_COLS).distinct()
-    for name, table in codes.tables.items():
-        series = series.join(table, name, "left")
-    coded = series.select("id", *[F.coalesce(f"{c}_code", F.lit(codes.prior)).alias(f"{c}_code") for c in codes.tables])
+    for name in CATEGORY_COLS:
+        known = codes.table.filter(F.col("category") == name).select(F.col("value").alias(name), F.col("code").alias(f"{name}_code"))
+        series = series.join(known, name, "left")
+    coded = series.select("id", *[F.coalesce(f"{c}_code", F.lit(codes.prior)).alias(f"{c}_code") for c in CATEGORY_COLS])
     return rows.join(coded, "id")
 
 
@@ -93,7 +96,7 @@ class Boosted:
     def save(self, path: str) -> None:
         self.point.write().overwrite().save(f"{path}/point")
         self.codes.save(f"{path}/codes")
-        spark = next(iter(self.codes.tables.values())).sparkSession
+        spark = self.codes.table.sparkSession
         spark.createDataFrame(list(enumerate(self.names)), "at int, name string").write.mode("overwrite").parquet(f"{path}/names")
         if self.band_tree is not None:
             self.band_tree.write().overwrite().save(f"{path}/band_tree")

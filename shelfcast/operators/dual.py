@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.boosted import COLUMN_SHARE, LEAF_ROWS, ROW_SHARE, STEP, Codes, boost, model_matrix
 from shelfcast.operators.reshape import last_n_per_series
-from shelfcast.operators.scoring import auc
+from shelfcast.operators.scoring import auc, last_days
 from shelfcast.sources.staging import stage
 
 
@@ -27,7 +27,7 @@ class Dual:
 
     def save(self, path: str) -> None:
         self.codes.save(f"{path}/codes")
-        spark = next(iter(self.codes.tables.values())).sparkSession
+        spark = self.codes.table.sparkSession
         parts = [(self.occurrence is not None, self.magnitude is not None, self.always)]
         spark.createDataFrame(parts, "occurrence boolean, magnitude boolean, always double").write.mode(
             "overwrite").parquet(f"{path}/parts")
@@ -88,6 +88,5 @@ def dual_forecast(model: Dual, features: DataFrame, ids: DataFrame | None = None
 
 def occurrence_auc(preds: DataFrame, master: DataFrame, val_days: int = 28) -> DataFrame:
     """Ranking quality of the chance of a sale over the validation days."""
-    from shelfcast.operators.scoring import last_days
     joined = last_days(preds, val_days).join(master.select("id", "date", "sales"), ["id", "date"])
     return auc(joined.select(F.col("dual_occurrence_prob").alias("score"), (F.col("sales") > 0).cast("int").alias("label")))

@@ -10,6 +10,8 @@ from shelfcast.functions.errors import mae, model_label, rmse, smape
 # Models whose scaled error is reported.
 SCALED_MODELS = ["lgbm_point", "ensemble_point", "dual_point"]
 EPS = 1e-10
+# Levels at which sales and forecasts are summed before scoring.
+LEVELS = {"item": "item_id", "store": "store_id", "state": "state_id"}
 
 
 def forecast_columns(df: DataFrame) -> list[str]:
@@ -86,6 +88,38 @@ def wrmsse(preds: DataFrame, master: DataFrame, cols: list[str], val_days: int =
     )
 
 
+def _by_level(rows: DataFrame, **sums) -> DataFrame:
+    """Daily sums per item, store, state and in all; ``id`` is ``level:key``.
+
+    One pass with grouping sets; the total over all is summed map-side first.
+    """
+    keys = list(LEVELS.values())
+    level = F.when(F.grouping("item_id") == 0, "item").when(F.grouping("store_id") == 0, "store").when(
+        F.grouping("state_id") == 0, "state").otherwise("national")
+    sets = [["date", key] for key in keys] + [["date"]]
+    return (
+        rows.groupingSets(sets, "date", *keys)
+        .agg(level.alias("level"), *[F.sum(v).alias(k) for k, v in sums.items()])
+        .select(F.concat_ws(":", "level", F.coalesce(*keys, F.lit("all"))).alias("id"), "date", *sums)
+    )
+
+
+def wrmsse_by_level(preds: DataFrame, master: DataFrame, cols: list[str], val_days: int = 28) -> DataFrame:
+    """Scaled error per level: sales and forecasts are summed to the level, then scored there."""
+    ids = master.select("id", *LEVELS.values()).distinct()
+    summed = _by_level(preds.join(ids, "id"), actual=F.col("actual"),
+                       **{c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
+    sold = _by_level(master, sales=F.col("sales"), revenue=F.col("sales") * F.col("sell_price")).withColumn(
+        "sell_price", F.coalesce(F.col("revenue") / F.nullif("sales", F.lit(0)), F.lit(0.0)))
+    per_series = series_rmsse(summed, sold, cols, val_days).withColumn("level", F.substring_index("id", ":", 1))
+    weight = F.sum("weight")
+    return (
+        per_series.unpivot(["level", "weight"], cols, "col", "rmsse").groupBy("level", "col")
+        .agg(F.when(weight > 0, F.sum(F.col("weight") * F.col("rmsse")) / F.nullif(weight, F.lit(0.0)))
+             .otherwise(F.avg("rmsse")).alias("WRMSSE"))
+    )
+
+
 def model_comparison(preds: DataFrame, master: DataFrame, val_days: int = 28) -> DataFrame:
     """All forecasts over the last ``val_days`` days, in one pass over the rows."""
     cols = forecast_columns(preds)

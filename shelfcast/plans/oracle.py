@@ -254,6 +254,31 @@ CTES: dict[str, str] = {
         SELECT 'lgbm_point' AS col, sum(weight * lgbm_point) / sum(weight) AS WRMSSE FROM rmsse
         UNION ALL SELECT 'dual_point', sum(weight * dual_point) / sum(weight) FROM rmsse
         UNION ALL SELECT 'ensemble_point', sum(weight * ensemble_point) / sum(weight) FROM rmsse""",
+    "level_master": """
+        SELECT CASE WHEN grouping(item_id) = 0 THEN 'item' WHEN grouping(store_id) = 0 THEN 'store'
+                    WHEN grouping(state_id) = 0 THEN 'state' ELSE 'national' END AS level,
+               coalesce(item_id, store_id, state_id, 'all') AS key, date, sum(sales) AS s, sum(sales * sell_price) AS rev
+        FROM master GROUP BY GROUPING SETS ((date, item_id), (date, store_id), (date, state_id), (date))""",
+    "level_preds": """
+        SELECT CASE WHEN grouping(item_id) = 0 THEN 'item' WHEN grouping(store_id) = 0 THEN 'store'
+                    WHEN grouping(state_id) = 0 THEN 'state' ELSE 'national' END AS level,
+               coalesce(item_id, store_id, state_id, 'all') AS key, date, sum(actual) AS a,
+               sum(coalesce(lgbm_point, 0)) AS l, sum(coalesce(ensemble_point, 0)) AS e
+        FROM blended b JOIN (SELECT DISTINCT id, item_id, store_id, state_id FROM demand) i ON i.id = b.id
+        WHERE date > (SELECT max(date) FROM blended) - 28
+        GROUP BY GROUPING SETS ((date, item_id), (date, store_id), (date, state_id), (date))""",
+    "level_errors": """
+        SELECT p.level, p.key, sqrt(avg(pow(a - l, 2))) / (any_value(scale) + 1e-10) AS l,
+               sqrt(avg(pow(a - e, 2))) / (any_value(scale) + 1e-10) AS e, any_value(r) AS r
+        FROM level_preds p
+        JOIN (SELECT level, key, CASE WHEN avg(d * d) > 0 THEN sqrt(avg(d * d)) ELSE 1 END AS scale
+              FROM (SELECT level, key, CAST(s - lag(s) OVER (PARTITION BY level, key ORDER BY date) AS DOUBLE) AS d
+                    FROM level_master WHERE date <= (SELECT max(date) FROM master) - 28) GROUP BY level, key) c
+          ON c.level = p.level AND c.key = p.key
+        JOIN (SELECT level, key, sum(rev) AS r FROM level_master WHERE date >= (SELECT max(date) FROM master) - 56
+              AND date <= (SELECT max(date) FROM master) - 28 GROUP BY level, key) v
+          ON v.level = p.level AND v.key = p.key
+        GROUP BY p.level, p.key""",
     "holidays": """
         SELECT y, unnest([
             {'holiday': 'NewYear', 'day': make_date(y, 1, 1), 'lo': -1, 'hi': 1},

@@ -344,6 +344,13 @@ def _(t):
     return rounded(scoring.wrmsse(t.blended, t.core, scoring.SCALED_MODELS), "WRMSSE")
 
 
+@query("wrmsse_by_level", """
+    SELECT level, 'lgbm_point' AS col, round(sum(r * l) / sum(r), 6) AS WRMSSE FROM level_errors GROUP BY level
+    UNION ALL SELECT level, 'ensemble_point', round(sum(r * e) / sum(r), 6) FROM level_errors GROUP BY level""")
+def _(t):
+    return rounded(scoring.wrmsse_by_level(t.blended, t.core, ["lgbm_point", "ensemble_point"]), "WRMSSE")
+
+
 _COMPARISON = f"""
     SELECT CASE col WHEN 'lgbm_point' THEN 'Lgbm' WHEN 'prophet_point' THEN 'Prophet' WHEN 'sarima_point' THEN 'Sarima'
            WHEN 'lstm_point' THEN 'Lstm' WHEN 'dual_point' THEN 'Dual' ELSE 'Ensemble' END AS model, col, n_series, n_rows,

@@ -38,8 +38,9 @@ class Tables:
 
     @cached_property
     def core(self) -> DataFrame:
-        """The columns of ``master`` that forecasts, blends and scores read, staged for their many scans."""
-        return stage(self.master.select(*testbed.IDS, "date", "sales", "sell_price"), "core")
+        """What forecasts, blends and scores read, staged once for their many scans."""
+        rows = self.master.select(*testbed.IDS, "date", "sales", "sell_price")
+        return stage(add_demand(add_rolling(add_lags(rows))), "core")
 
     @cached_property
     def panel(self) -> DataFrame:
@@ -60,7 +61,8 @@ class Tables:
 
     @cached_property
     def classes(self) -> DataFrame:
-        return stage(classify_demand(self.master), "demand_classes")
+        rows = self.core if "core" in self.__dict__ else self.master
+        return stage(classify_demand(rows), "demand_classes")
 
     @cached_property
     def routing(self) -> DataFrame:
@@ -68,11 +70,8 @@ class Tables:
 
     @cached_property
     def preds(self) -> dict[str, DataFrame]:
-        """Forecast tables of all model slots; the features under them are staged once."""
-        needed = ["id", "date", "sales_lag_7", "sales_lag_14", "sales_lag_28", "sales_lag_56", "rolling_mean_7",
-                  "rolling_mean_28", "rolling_min_7", "rolling_max_7", "rolling_nonzero_rate_28"]
-        inputs = add_demand(add_rolling(add_lags(self.core))).select(*needed)
-        return feature_forecasts(stage(inputs, "forecast_inputs"), self.classes)
+        """Forecast tables of all model slots, over one staged table."""
+        return feature_forecasts(self.core, self.classes)
 
     @cached_property
     def quantiles(self) -> DataFrame:
@@ -89,7 +88,7 @@ class Tables:
 
     @cached_property
     def weights(self) -> DataFrame:
-        return ensemble_weights(self.gram)
+        return stage(ensemble_weights(self.gram), "weights")
 
     @cached_property
     def blended(self) -> DataFrame:

@@ -694,7 +694,7 @@ def _(t):
 def _(t):
     store = _store(t)
     kept = t.classes.select("id", "demand_class")
-    store.replace("some", kept.filter(F.col("store_id") == "ALL") if "store_id" in kept.columns else kept.filter(F.col("id").endswith("_ALL")))
+    store.replace("some", kept.filter(F.col("id").endswith("_ALL")))
     store.append("some", kept.filter(~F.col("id").endswith("_ALL")).select("demand_class", "id"))
     return store.read("some")
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.sources.staging import stage
-
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table."""
@@ -27,11 +26,15 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _at(self, path: str):
+        """The file system of the store, and a path on it."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), at
+
     def exists(self, name: str) -> bool:
         """Whether the table was written to the end."""
-        jvm = self.spark._jvm
-        done = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
-        return done.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(done)
+        files, done = self._at(f"{self.path(name)}/_SUCCESS")
+        return files.exists(done)
 
     def read(self, name: str) -> DataFrame:
         if not self.exists(name):
@@ -41,12 +44,19 @@ class TableStore:
     def replace(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> bool:
         """Replaces a table; an empty frame is not written and the old table stays.
 
-        The rows are staged first, so the plan runs once and may read the old table.
+        The rows go to a new folder that then takes the place of the old one, so the plan
+        runs once, is written once, and may read the table it replaces.
         """
-        rows = stage(df, name)
-        if rows.isEmpty():
+        fresh = f"{self.root}/_new/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.partitionBy(*partition_by).parquet(fresh)
+        files, new = self._at(fresh)
+        if self.spark.read.schema(df.schema).parquet(fresh).isEmpty():
+            files.delete(new, True)
             return False
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        _, old = self._at(self.path(name))
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"could not move {fresh} to {self.path(name)}")
         return True
 
     def append(self, name: str, df: DataFrame) -> None:

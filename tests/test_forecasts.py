@@ -173,6 +173,13 @@ def test_decompose(master):
     assert ahead.count() == 14 and ahead.agg(F.min("date")).first()[0] == dt.date(2016, 1, 1) + dt.timedelta(days=240)
 
 
+def test_decompose_and_its_forecast_cost_one_exchange_on_id(series):
+    frame = series({"a": [1] * 70})
+    for horizon in (0, 7):
+        plan = decompose.decompose(frame, decompose.holiday_days(frame), horizon)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(id") == 1
+
+
 def test_decompose_skips_short(series):
     frame = series({"a": [1] * 59, "b": [1] * 60})
     ids = decompose.decompose(frame, decompose.holiday_days(frame)).select("id").distinct().collect()

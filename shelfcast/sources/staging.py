@@ -12,20 +12,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session; a private one only for local runs."""
+    """The shared folder of this session.
+
+    A session of one process (``local``, ``local[n]``) that names none is given one here,
+    once; any other session must name its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="shelfcast-")
-    return _LOCAL_FOLDERS[app]
+    if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="shelfcast-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -35,7 +36,21 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
+    return staged_at(df, new_path(df.sparkSession, name))
+
+
+def staged_at(df: DataFrame, path: str) -> DataFrame:
+    """As :func:`stage`, at a path the caller owns and may :func:`discard`."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a staged path once nothing reads it any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all that this application staged; for the end of a job."""
+    discard(spark, f"{shared_dir(spark)}/shelfcast/{spark.sparkContext.applicationId}")

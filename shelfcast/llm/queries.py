@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import chat, packfile, packing
+from shelfcast.llm import chat, collision, packfile, packing, simhash
 
-_QUERIES = (chat.op3_chat_format, packfile.op5_packed_ids, packing.op6_packing)
+_QUERIES = (simhash.op1_simhash_vptree, chat.op3_chat_format, packfile.op5_packed_ids, packing.op6_packing, collision.op10_collision_ann)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

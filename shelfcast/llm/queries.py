@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import chat, collision, importance, langid, mixing, packfile, packing, phrases, simhash
+from shelfcast.llm import chat, collision, importance, langid, mixing, packfile, packing, phrases, repeats, simhash
 
-_QUERIES = (simhash.op1_simhash_vptree, langid.op2_language_id, chat.op3_chat_format, packfile.op5_packed_ids, packing.op6_packing,
+_QUERIES = (simhash.op1_simhash_vptree, langid.op2_language_id, chat.op3_chat_format, repeats.op4_repeats, packfile.op5_packed_ids, packing.op6_packing,
             phrases.op7_phrase_fingerprints, mixing.op8_mixing, importance.op9_importance, collision.op10_collision_ann)
 
 

@@ -16,8 +16,9 @@ START = dt.date(2016, 1, 1)
 
 
 @pytest.fixture(scope="session")
-def spark():
-    spark = session("local[8]", 4, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("shared"))
+    spark = session("local[8]", 4, **{"spark.checkpoint.dir": folder, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                       "spark.driver.memory": "6g"})
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,21 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit("")).cast("binary")
 
 
+def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and the whole row as ``row``, so that no column of it can clash with a new one."""
+    return docs.select(F.struct("*").alias("row")).select("row", *[F.col(f"row.{c}") for c in columns])
+
+
+def compressed(text: Column) -> Column:
+    """Bytes in zstandard frames; an exchange's own codec sees too little of a text at once."""
+    @F.pandas_udf("binary")
+    def run(batch: pd.Series) -> pd.Series:
+        from zstandard import ZstdCompressor
+        return batch.map(ZstdCompressor(level=1).compress)
+
+    return run(text)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words whose output bits all depend on all input bits."""
     x = x.astype(np.uint64, copy=True)

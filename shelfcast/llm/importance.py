@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import chunks, mix, table, text_bytes, words_of
+from shelfcast.llm.common import chunks, mix, table, text_bytes, whole_rows, words_of
 from shelfcast.sources.staging import stage
 
 #: Labelled rows looked at, half to fit the target model and half to set tau.
@@ -141,7 +141,7 @@ class Model:
     seed: int
 
     def weigh(self, docs: DataFrame) -> DataFrame:
-        """Adds ``_log_weight``, ``_key`` and ``_kept`` to any frame with doc_id and text."""
+        """Adds ``_log_weight``, ``_key`` and ``_kept`` to a frame with doc_id and text."""
         found = docs.withColumn("_score", score_column(docs.sparkSession, self.ratio)).withColumn("_noise", gumbel(self.seed))
         weight = F.col("_score.total") - F.lit(self.tau) * F.col("_score.n")
         return (found.withColumn("_log_weight", weight).withColumn("_key", F.col("_log_weight") + F.col("_noise"))
@@ -179,4 +179,5 @@ def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are drawn, with all their columns."""
-    return fit(docs, labels).weigh(docs).where("_kept").select(*docs.columns)
+    rows = whole_rows(docs, "doc_id", "text")
+    return fit(rows.drop("row"), labels).weigh(rows).where("_kept").select("row.*")

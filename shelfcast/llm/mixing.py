@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import table, text_bytes
+from shelfcast.llm.common import table, text_bytes, whole_rows
 from shelfcast.llm.tokens import encoder
 from shelfcast.sources.staging import stage
 
@@ -126,7 +126,7 @@ def plan(docs: DataFrame, tokenizer: str, max_epochs: float | None, entropy: flo
 
 def copies(docs: DataFrame, tokenizer: str, max_epochs: float | None = 1.5, entropy: float | None = None,
            budget: float | None = None, seed: int = 5) -> DataFrame:
-    """Adds ``_copies``, how often each row comes, and its source's ``_weight``, to any frame with doc_id, text and source."""
+    """Adds ``_copies``, how often each row comes, and its source's ``_weight`` to a frame with doc_id, text and source."""
     # One row per source, written so that its size is known; joined by broadcast only while that is small.
     shares = stage(plan(docs, tokenizer, max_epochs, entropy, budget, seed)
                    .select(F.col("source").alias("_source"), F.col("weight").alias("_weight"), "passes", "upto"), "shares")
@@ -136,8 +136,8 @@ def copies(docs: DataFrame, tokenizer: str, max_epochs: float | None = 1.5, entr
 
 def mix(docs: DataFrame, tokenizer: str, **how) -> DataFrame:
     """The rows of ``docs``, each as often as its source's weight asks."""
-    times = copies(docs, tokenizer, **how).where("_copies > 0")
-    return times.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    times = copies(whole_rows(docs, "doc_id", "text", "source"), tokenizer, **how).where("_copies > 0")
+    return times.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import chunks, mix, rolling, spans_hash, table, text_bytes
+from shelfcast.llm.common import chunks, compressed, mix, rolling, spans_hash, table, text_bytes
 from shelfcast.sources.staging import stage
 
 WINDOW, K = 100, 24
@@ -292,16 +292,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_tag": tag})
 
 
-def _compressed(text: Column) -> Column:
-    """Texts are compressed before they move; the exchange's own codec sees too little of them at once."""
-    @F.pandas_udf("binary")
-    def run(batch: pd.Series) -> pd.Series:
-        from zstandard import ZstdCompressor
-        return batch.map(ZstdCompressor(level=1).compress)
-
-    return run(text)
-
-
 def marks(docs: DataFrame, window: int = WINDOW, k: int = K, hot: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(_id, _tag, spans): per document the stretches of windows, (place, windows), that occur earlier; ``docs`` is keyed."""
     order = ["anchor", "name", "doc_id", "place"]
@@ -312,7 +302,7 @@ def marks(docs: DataFrame, window: int = WINDOW, k: int = K, hot: int = HOT, sha
     tag = F.shiftright("place", 32)
     wanted = (phrase.join(crowded, "anchor", "left").groupBy("doc_id", tag.alias("tag"))
               .agg(F.collect_list(F.struct("anchor", "place", "windows", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted")))
-    texts = docs.where(F.octet_length("text") >= window).select(F.col("_id").alias("doc_id"), F.col("_tag").alias("tag"), _compressed(text_bytes()).alias("z"))
+    texts = docs.where(F.octet_length("text") >= window).select(F.col("_id").alias("doc_id"), F.col("_tag").alias("tag"), compressed(text_bytes()).alias("z"))
     fetched = stage(texts.join(wanted, ["doc_id", "tag"]).mapInPandas(_fetch(window), _FOUND + ", bytes binary"), "fetched")
     whole = fetched.where("kind = 2")
     n = whole.agg(F.sum(F.length("bytes"))).first()[0] or 0
@@ -344,20 +334,22 @@ def cut(text: bytes, runs: np.ndarray) -> bytes:
 
 
 def with_spans(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with the text compressed as ``_z`` and the marks as ``spans``."""
-    keyed = _keyed(docs)
-    found = marks(keyed, window, **how)
-    return (keyed.withColumn("_z", _compressed(text_bytes())).drop("text").join(found, ["_id", "_tag"], "left").drop("_id", "_tag"))
+    """doc_id, the compressed text ``z``, the marks ``spans``, and as ``row`` the other columns of ``docs``."""
+    rest = [F.col(c) for c in docs.columns if c != "text"]
+    keyed = _keyed(docs.select("doc_id", "text", F.struct(*rest).alias("row")))
+    found = marks(keyed.drop("row"), window, **how)
+    return keyed.withColumn("z", compressed(text_bytes())).join(found, ["_id", "_tag"], "left").select("doc_id", "z", "spans", "row")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
-    """``docs`` with the repeated bytes cut out of ``text``; a character that loses a byte goes whole."""
+    """``docs`` with the repeated bytes cut out of ``text``; a character that loses a byte goes whole, and null becomes empty."""
     @F.pandas_udf("string")
     def left(z: pd.Series, spans: pd.Series) -> pd.Series:
         from zstandard import decompress
         return pd.Series([cut(decompress(t), covered(s, window)).decode(errors="ignore") for t, s in zip(z, spans)], dtype=object)
 
-    return with_spans(docs, window, **how).withColumn("text", left("_z", "spans")).select(*docs.columns)
+    done = with_spans(docs, window, **how).withColumn("text", left("z", "spans"))
+    return done.select(*["text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,10 +358,10 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         from zstandard import decompress
         for batch in batches:
             out = []
-            for doc_id, z, spans in zip(batch["doc_id"], batch["_z"], batch["spans"]):
+            for doc_id, z, spans in zip(batch["doc_id"], batch["z"], batch["spans"]):
                 text, runs = decompress(z), covered(spans, WINDOW)
                 out.append((doc_id, len(text), int((runs[:, 1] - runs[:, 0]).sum()), len(runs), hashlib.sha256(cut(text, runs)).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_spans(docs).select("doc_id", "_z", "spans").mapInPandas(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_spans(docs).select("doc_id", "z", "spans").mapInPandas(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

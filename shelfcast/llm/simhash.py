@@ -195,10 +195,3 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataF
 def op1_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all ``documents``: 3-word shingles, 2 bits."""
     return near_duplicates(table(spark, sf_dir, "documents"))
-
-
-def keep_one(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
-    """The documents of which no component mate has a smaller doc_id; without a doc_id, only if none of its component has one."""
-    groups = near_duplicates(docs, radius, shingle)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(first.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept")

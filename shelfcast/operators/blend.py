@@ -27,13 +27,22 @@ def active_ids(preds: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [p.select("id").distinct() for p in preds.values()]).distinct()
 
 
-def merge_predictions(master: DataFrame, preds: dict[str, DataFrame], classes: DataFrame) -> DataFrame:
+def merge_predictions(master: DataFrame, preds: dict[str, DataFrame], classes: DataFrame, since=None, until=None,
+                      ids: list[str] | None = None) -> DataFrame:
     """Actuals of the active series with each forecast column and the demand class.
 
     ``preds`` maps a forecast column to its table.  Every left join is on (id, date), so
-    the actuals are exchanged once and each forecast table once.
+    the actuals are exchanged once and each forecast table once.  Only days after ``since``, up to
+    ``until``, and only the series ``ids`` are read, where given: the bounds reach every scan.
     """
-    merged = (master.join(active_ids(preds), "id", "left_semi")
+    bounds = [c for c in (None if since is None else F.col("date") > F.lit(since), None if until is None else F.col("date") <= F.lit(until),
+                          F.col("id").isin(ids) if ids else None) if c is not None]
+
+    def cut(df: DataFrame) -> DataFrame:
+        return reduce(DataFrame.filter, bounds, df)
+
+    preds = {column: cut(table) for column, table in preds.items()}
+    merged = (cut(master).join(active_ids(preds), "id", "left_semi")
               .select("id", "date", F.col("sales").alias("actual")))
     for column, table in preds.items():
         merged = merged.join(table.select("id", "date", column), ["id", "date"], "left")

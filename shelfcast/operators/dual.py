@@ -7,15 +7,21 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.operators.boosted import COLUMN_SHARE, LEAF_ROWS, ROW_SHARE, STEP, Codes, boost, model_matrix
+from shelfcast.operators.boosted import COLUMN_SHARE, ROW_SHARE, STEP, Codes, boost, model_matrix, patient
 from shelfcast.operators.reshape import last_n_per_series
 from shelfcast.operators.scoring import auc, last_days
 from shelfcast.sources.staging import stage
 
 
+# Most rounds, patience, and the smallest leaves of the chance and the size model.
+ROUNDS, PATIENCE, CHANCE_LEAF_ROWS, SIZE_LEAF_ROWS = 500, 30, 10, 5
+# Trees as deep as the leaves wanted (63) ask for.
+DEPTH = 6
+
+
 @dataclass
 class Dual:
     """``occurrence`` is None when every training row had the same outcome, ``always``."""
@@ -44,41 +50,42 @@ class Dual:
                     Codes.load(spark, f"{path}/codes"), parts["always"])
 
 
-def fit_dual(features: DataFrame, ids: DataFrame | None = None, val_days: int = 28, rounds: int = 20,
-             depth: int = 5, seed: int = 42) -> Dual:
+def fit_dual(features: DataFrame, ids: DataFrame | None = None, val_days: int = 28, rounds: int = ROUNDS,
+             depth: int = DEPTH, seed: int = 42) -> Dual:
     """The size model learns from rows with a sale only."""
     matrix, codes, _ = model_matrix(features, None, ids, val_days)
     matrix = stage(matrix.withColumn("sold", (F.col("sales") > 0).cast("double")), "dual_matrix")
     outcomes = {r["sold"] for r in matrix.filter(~F.col("is_val")).select("sold").distinct().collect()}
     if not outcomes:
         return Dual(None, None, codes)
-    occurrence = None
+    occurrence = magnitude = None
     if len(outcomes) == 2:
         learner = GBTClassifier(labelCol="sold", stepSize=STEP, subsamplingRate=ROW_SHARE,
-                                featureSubsetStrategy=COLUMN_SHARE, maxIter=rounds, maxDepth=depth,
-                                minInstancesPerNode=LEAF_ROWS, seed=seed, maxMemoryInMB=512)
-        if not matrix.filter("is_val").isEmpty():
-            learner = learner.setValidationIndicatorCol("is_val").setParams(validationTol=1e-4)
-        occurrence = learner.fit(matrix)
-    magnitude = boost(matrix.filter("sold = 1").drop("sold"), rounds, depth, seed) if 1.0 in outcomes else None
+                                featureSubsetStrategy=COLUMN_SHARE, maxDepth=depth,
+                                minInstancesPerNode=CHANCE_LEAF_ROWS, seed=seed, maxMemoryInMB=512)
+        occurrence = patient(learner, matrix, rounds, PATIENCE, lambda model, val: model.evaluateEachIteration(val))
+    if 1.0 in outcomes:
+        magnitude = boost(matrix.filter("sold = 1").drop("sold"), "size", rounds, PATIENCE, depth, SIZE_LEAF_ROWS, seed)
     return Dual(occurrence, magnitude, codes, max(outcomes))
 
 
-def predict_dual(model: Dual, features: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+def product(rows: DataFrame, chance: Column, size: Column) -> DataFrame:
     """(id, date, dual_occurrence_prob, dual_magnitude, dual_point); the product is of unrounded parts."""
+    size = F.greatest(size, F.lit(0.0))
+    return rows.select("id", "date", F.round(chance, 4).alias("dual_occurrence_prob"),
+                       F.round(size, 3).alias("dual_magnitude"), F.round(chance * size, 3).alias("dual_point"))
+
+
+def predict_dual(model: Dual, features: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """The product of both models for every row with the longest lag."""
     rows, _, _ = model_matrix(features, model.codes, ids)
+    chance, size = F.lit(model.always), F.lit(0.0)
     if model.occurrence is not None:
-        scored = model.occurrence.setPredictionCol("_class").setRawPredictionCol("_margin").setProbabilityCol("_chance").transform(rows)
-        rows = scored.withColumn("chance", vector_to_array("_chance")[1])
-    else:
-        rows = rows.withColumn("chance", F.lit(model.always))
+        rows = model.occurrence.setPredictionCol("_class").setRawPredictionCol("_margin").setProbabilityCol("_chance").transform(rows)
+        chance = vector_to_array("_chance")[1]
     if model.magnitude is not None:
-        rows = model.magnitude.setPredictionCol("_size").transform(rows)
-    else:
-        rows = rows.withColumn("_size", F.lit(0.0))
-    size = F.greatest(F.col("_size"), F.lit(0.0))
-    return rows.select("id", "date", F.round("chance", 4).alias("dual_occurrence_prob"),
-                       F.round(size, 3).alias("dual_magnitude"), F.round(F.col("chance") * size, 3).alias("dual_point"))
+        rows, size = model.magnitude.setPredictionCol("_size").transform(rows), F.col("_size") * F.col("size")
+    return product(rows, chance, size)
 
 
 def dual_forecast(model: Dual, features: DataFrame, ids: DataFrame | None = None, horizon: int = 28) -> DataFrame:

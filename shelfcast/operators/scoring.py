@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.errors import mae, model_label, rmse, smape
+from shelfcast.sources.staging import stage
 
 # Models whose scaled error is reported.
 SCALED_MODELS = ["lgbm_point", "ensemble_point", "dual_point"]
@@ -57,14 +58,16 @@ def revenue_weights(master: DataFrame, val_days: int = 28) -> DataFrame:
     return revenue.withColumn("weight", F.col("revenue") / (total + EPS))
 
 
-def series_rmsse(preds: DataFrame, master: DataFrame, cols: list[str], val_days: int = 28) -> DataFrame:
-    """Per series: scaled error of each forecast (a missing one counts as 0) and weight.
+def series_rmsse(preds: DataFrame, master: DataFrame, cols: list[str], val_days: int = 28, covered_only: bool = False) -> DataFrame:
+    """Per series: scaled error of each forecast and weight.
 
-    One aggregate over the validation rows covers all ``cols``.
+    A missing forecast counts as 0, or with ``covered_only`` not at all.  One aggregate over the
+    validation rows covers all ``cols``.
     """
     train_end = F.date_sub(preds.agg(F.max("date")).scalar(), val_days)
     val = last_days(preds, val_days)
-    gaps = {c: F.col("actual").cast("double") - F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
+    given = {c: F.col(c).cast("double") if covered_only else F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols}
+    gaps = {c: F.col("actual").cast("double") - g for c, g in given.items()}
     errors = val.groupBy("id").agg(*[F.sqrt(F.avg(g * g)).alias(c) for c, g in gaps.items()])
     scale = scaling_factor(master.join(errors.select("id"), "id", "left_semi"), train_end)
     return (
@@ -74,16 +77,16 @@ def series_rmsse(preds: DataFrame, master: DataFrame, cols: list[str], val_days:
     )
 
 
-def wrmsse(preds: DataFrame, master: DataFrame, cols: list[str], val_days: int = 28) -> DataFrame:
+def wrmsse(preds: DataFrame, master: DataFrame, cols: list[str], val_days: int = 28, covered_only: bool = False) -> DataFrame:
     """Revenue-weighted scaled error, one row per forecast column.
 
     Weights are renormalised over the series scored; all equal when they sum to 0.
     """
     weight = F.col("weight")
-    per_series = series_rmsse(preds, master, cols, val_days)
+    per_series = series_rmsse(preds, master, cols, val_days, covered_only)
     score = F.when(F.sum("weight") > 0, F.sum(weight * F.col("rmsse")) / F.nullif(F.sum("weight"), F.lit(0.0)))
     return (
-        per_series.unpivot(["id", "weight"], cols, "model", "rmsse")
+        per_series.unpivot(["id", "weight"], cols, "model", "rmsse").filter(F.col("rmsse").isNotNull())
         .groupBy(F.col("model").alias("col")).agg(score.otherwise(F.avg("rmsse")).alias("WRMSSE"))
     )
 
@@ -152,19 +155,16 @@ def per_class_metrics(preds: DataFrame, cols: list[str] | None = None) -> DataFr
     )
 
 
-def auc(scored: DataFrame, score: str = "score", label: str = "label", buckets: int = 64) -> DataFrame:
+def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Exact area under the ROC curve with ties counted half.
 
-    Equal scores are merged first; the distinct ones are ranked inside ranges cut at
-    approximate quantiles, and only the totals of the ranges (at most ``buckets`` + 1
-    rows) are accumulated in one place.
+    Equal scores are merged first; the distinct ones are dealt into ranges, as many as the session
+    has shuffle partitions, and ranked inside them; only the totals of the ranges are accumulated in one place.
     """
-    by_score = scored.groupBy(F.col(score).alias("s")).agg(
-        F.count(F.when(F.col(label) == 1, True)).alias("pos"),
-        F.count(F.when(F.col(label) == 0, True)).alias("neg"))
-    cuts = by_score.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 10000)).scalar()
-    ranged = by_score.withColumn("cuts", cuts).select(
-        "s", "pos", "neg", F.size(F.filter("cuts", lambda c: c <= F.col("s"))).alias("bucket"))
+    ranged = stage(
+        scored.groupBy(F.col(score).alias("s")).agg(
+            F.count(F.when(F.col(label) == 1, True)).alias("pos"), F.count(F.when(F.col(label) == 0, True)).alias("neg"))
+        .repartitionByRange("s").withColumn("bucket", F.spark_partition_id()), "score_ranges")
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = (ranged.groupBy("bucket").agg(F.sum("neg").alias("neg_in"))
               .select("bucket", F.coalesce(F.sum("neg_in").over(before), F.lit(0)).alias("neg_before")))

@@ -230,3 +230,9 @@ def order_search(panel: DataFrame, ids: DataFrame | None = None, p_range=range(3
               .groupBy("p", "q").agg(F.avg("aic").alias("mean_aic"), F.count("aic").alias("n_series")))
     best = scored.agg(F.min("mean_aic")).scalar()
     return scored.withColumn("best", F.col("mean_aic") == best)
+
+
+def best_order(panel: DataFrame, ids: DataFrame | None = None) -> tuple[int, int, int]:
+    """The order with the lowest mean AIC; the smallest of equal ones."""
+    row = order_search(panel, ids).where("best").orderBy("p", "q").first()
+    return (row["p"], 1, row["q"]) if row else ORDER

@@ -51,9 +51,9 @@ CTES: dict[str, str] = {
                     WHEN md IN (214, 1031) THEN 'Cultural' WHEN bowl THEN 'Sporting' END AS event_type_1,
                CASE WHEN md = 214 AND isodow(date) = 7 THEN 'LentStart' END AS event_name_2,
                CASE WHEN md = 214 AND isodow(date) = 7 THEN 'Religious' END AS event_type_2,
-               CAST(day(date) % 10 < 3 AS INTEGER) AS snap_CA,
-               CAST(day(date) % 10 >= 3 AND day(date) % 10 < 6 AS INTEGER) AS snap_TX,
-               CAST(day(date) % 10 >= 6 AND day(date) % 10 < 9 AS INTEGER) AS snap_WI
+               CAST(datediff('day', lo, date) % 14 >= 7 AND isodow(date) <= 5 AS INTEGER) AS snap_CA,
+               CAST(day(date) >= 22 AS INTEGER) AS snap_TX,
+               CAST(datediff('day', lo, date) % 14 IN (2, 3, 5, 7, 11, 13) AS INTEGER) AS snap_WI
         FROM (SELECT *, month(date) * 100 + day(date) AS md,
                      month(date) = 2 AND isodow(date) = 7 AND day(date) <= 7 AS bowl FROM days)""",
     "master": """

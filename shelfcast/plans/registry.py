@@ -267,11 +267,9 @@ def _(t):
     return active_ids(t.preds)
 
 
-@query("active_actuals", """
-    SELECT id, date, sales AS actual FROM master WHERE id IN (SELECT id FROM pred_prophet UNION SELECT id FROM pred_sarima)""")
+@query("active_actuals", "SELECT id, date, sales AS actual FROM master WHERE id IN (SELECT id FROM active)")
 def _(t):
-    wanted = {c: t.preds[c] for c in ("prophet_point", "sarima_point")}
-    return reshape.keep_ids(t.core, active_ids(wanted)).select("id", "date", F.col("sales").alias("actual"))
+    return reshape.keep_ids(t.core, active_ids(t.preds)).select("id", "date", F.col("sales").alias("actual"))
 
 
 @query("prediction_merge", "SELECT * FROM merged")
@@ -279,12 +277,15 @@ def _(t):
     return t.merged
 
 
-@query("stacked_predictions", """
-    SELECT id, date, 'prophet' AS model, prophet_point, CAST(NULL AS DOUBLE) AS sarima_point FROM pred_prophet
-    UNION ALL SELECT id, date, 'sarima', NULL, sarima_point FROM pred_sarima""")
+_SLOTS = ("lgbm", "prophet", "sarima", "lstm", "dual")
+
+
+@query("stacked_predictions", " UNION ALL ".join(
+    f"SELECT id, date, '{m}' AS model, " + ", ".join(f"{'p.' + c + '_point' if c == m else 'CAST(NULL AS DOUBLE)'} AS {c}_point" for c in _SLOTS)
+    + f" FROM pred_{m} p" for m in _SLOTS))
 def _(t):
-    return reshape.stack([t.preds[f"{m}_point"].withColumn("model", F.lit(m)) for m in ("prophet", "sarima")]).select(
-        "id", "date", "model", "prophet_point", "sarima_point")
+    return reshape.stack([t.preds[f"{m}_point"].select("id", "date", f"{m}_point").withColumn("model", F.lit(m)) for m in _SLOTS]).select(
+        "id", "date", "model", *[f"{m}_point" for m in _SLOTS])
 
 
 @query("blend_gram", "SELECT demand_class, n_rows, x, y, round(value, 2) AS value FROM gram")
@@ -335,20 +336,30 @@ def _(t):
 @query("weight_scale_lookup", """
     SELECT id, round(lgbm_point, 6) AS lgbm_point, round(ensemble_point, 6) AS ensemble_point, round(weight, 2) AS weight FROM rmsse""")
 def _(t):
-    scored = scoring.series_rmsse(t.blended, t.core, ["lgbm_point", "ensemble_point"])
+    scored = scoring.series_rmsse(t.blended_recent, t.core, ["lgbm_point", "ensemble_point"])
     return rounded(rounded(scored, "lgbm_point", "ensemble_point"), "weight", places=2)
 
 
 @query("wrmsse", "SELECT col, round(WRMSSE, 6) AS WRMSSE FROM wrmsse")
 def _(t):
-    return rounded(scoring.wrmsse(t.blended, t.core, scoring.SCALED_MODELS), "WRMSSE")
+    return rounded(scoring.wrmsse(t.blended_recent, t.core, scoring.SCALED_MODELS), "WRMSSE")
+
+
+@query("wrmsse_covered", " UNION ALL ".join(f"""
+    SELECT '{c}' AS col, round(sum(weight * r) / sum(weight), 6) AS WRMSSE FROM (
+        SELECT b.id, sqrt(avg(pow(actual - {c}, 2))) / (any_value(scale) + 1e-10) AS r, any_value(revenue) AS weight
+        FROM blended b LEFT JOIN scales s ON s.id = b.id LEFT JOIN revenue v ON v.id = b.id
+        WHERE date > (SELECT max(date) FROM blended) - 28 GROUP BY b.id) WHERE r IS NOT NULL""" for c in scoring.SCALED_MODELS))
+def _(t):
+    """Only the series a model has a forecast for."""
+    return rounded(scoring.wrmsse(t.blended_recent, t.core, scoring.SCALED_MODELS, covered_only=True), "WRMSSE")
 
 
 @query("wrmsse_by_level", """
     SELECT level, 'lgbm_point' AS col, round(sum(r * l) / sum(r), 6) AS WRMSSE FROM level_errors GROUP BY level
     UNION ALL SELECT level, 'ensemble_point', round(sum(r * e) / sum(r), 6) FROM level_errors GROUP BY level""")
 def _(t):
-    return rounded(scoring.wrmsse_by_level(t.blended, t.core, ["lgbm_point", "ensemble_point"]), "WRMSSE")
+    return rounded(scoring.wrmsse_by_level(t.blended_recent, t.core, ["lgbm_point", "ensemble_point"]), "WRMSSE")
 
 
 _COMPARISON = f"""
@@ -361,7 +372,7 @@ _COMPARISON = f"""
 
 @query("model_comparison", _COMPARISON)
 def _(t):
-    return scoring.model_comparison(t.blended, t.core)
+    return scoring.model_comparison(t.blended_recent, t.core)
 
 
 @query("per_class_metrics", f"""
@@ -428,28 +439,35 @@ def _(t):
     FROM blended b LEFT JOIN pred_lgbm l ON l.id = b.id AND l.date = b.date
     WHERE b.date >= (SELECT max(date) FROM blended) - 28""")
 def _(t):
-    recent = reshape.history_window(t.blended, 28)
+    recent = reshape.history_window(t.blended_recent, 28)
     return serving.with_quantiles(recent, t.quantiles).select("id", "date", "actual", "ensemble_point", "lgbm_q10", "lgbm_q90")
 
 
-_KPIS = """
-    SELECT greatest(0.0::DOUBLE, round(100.0::DOUBLE * (1 - sum(abs(actual - ensemble_point)) / (sum(actual) + 1e-10)), 1)) AS accuracy,
-           count(DISTINCT CASE WHEN lgbm_q10 = 0 AND ensemble_point > 1 THEN b.id END) AS stockout_alerts,
-           count(DISTINCT CASE WHEN lgbm_q90 > 3 * ensemble_point AND ensemble_point > 0 THEN b.id END) AS overstock_alerts,
-           CAST(coalesce(sum(actual), 0) AS BIGINT) AS total_sales,
-           150 * count(DISTINCT CASE WHEN lgbm_q10 = 0 AND ensemble_point > 1 THEN b.id END) AS revenue_at_risk
-    FROM blended b LEFT JOIN pred_lgbm l ON l.id = b.id AND l.date = b.date
-    WHERE b.date >= (SELECT max(date) FROM blended) - 28"""
+def _kpis(only: str = "true") -> str:
+    """The KPIs from one row per series of the last 29 dates: sums, and whether it was ever short or over."""
+    return f"""
+    SELECT * FROM (WITH recent AS (
+        SELECT b.id, actual, ensemble_point AS expected, lgbm_q10 AS low, lgbm_q90 AS high
+        FROM blended b LEFT JOIN pred_lgbm l USING (id, date)
+        WHERE date > (SELECT max(date) - 29 FROM blended) AND {only}),
+    by_series AS (
+        SELECT id, sum(actual) AS sold, sum(abs(expected - actual)) AS missed, coalesce(bool_or(low = 0 AND expected > 1), false) AS short,
+               coalesce(bool_or(expected > 0 AND high > expected * 3), false) AS over
+        FROM recent GROUP BY id),
+    total AS (SELECT sum(sold) AS sold, sum(missed) AS missed, count(*) FILTER (short) AS short, count(*) FILTER (over) AS over FROM by_series)
+    SELECT greatest(round((1 - missed / (sold + 1e-10)) * 100.0::DOUBLE, 1), 0.0::DOUBLE) AS accuracy, short AS stockout_alerts,
+           over AS overstock_alerts, CAST(coalesce(sold, 0) AS BIGINT) AS total_sales, short * 150 AS revenue_at_risk
+    FROM total)"""
 
 
-@query("overview_kpis", _KPIS)
+@query("overview_kpis", _kpis())
 def _(t):
-    return serving.overview_kpis(t.blended, t.classes, t.quantiles)
+    return serving.overview_kpis(t.blended_recent, t.classes, t.quantiles)
 
 
-@query("overview_kpis_filtered", _KPIS + " AND b.id IN (SELECT id FROM classes WHERE state_id = 'TX' AND cat_id = 'CAT_0')")
+@query("overview_kpis_filtered", _kpis("b.id IN (SELECT id FROM classes WHERE state_id = 'TX' AND cat_id = 'CAT_0')"))
 def _(t):
-    return serving.overview_kpis(t.blended, t.classes, t.quantiles, state_id="TX", cat_id="CAT_0")
+    return serving.overview_kpis(t.blended_recent, t.classes, t.quantiles, state_id="TX", cat_id="CAT_0")
 
 
 @query("weekly_trend", """
@@ -459,38 +477,38 @@ def _(t):
     return rounded(serving.weekly_trend(t.blended, t.classes, store_id="ASIA"), "forecast", places=3)
 
 
+_SLICE = ("PROMO_ALL", "2000-01-01", "2001-06-30")
+
+
 @query("forecast_slice", """
     SELECT b.date, actual, b.lgbm_point, prophet_point, sarima_point, lstm_point, dual_point, ensemble_point, lgbm_q10, lgbm_q90
     FROM blended b LEFT JOIN pred_lgbm l ON l.id = b.id AND l.date = b.date
     WHERE b.id = 'PROMO_ALL' AND b.date BETWEEN DATE '2000-01-01' AND DATE '2001-06-30' ORDER BY b.date""")
 def _(t):
-    return serving.forecast_slice(t.blended, t.quantiles, "PROMO_ALL", "2000-01-01", "2001-06-30")
+    return serving.forecast_slice(t.blended_series(*_SLICE), t.quantiles, *_SLICE)
 
 
 @query("series_badges", """
     SELECT round(avg(abs(actual - ensemble_point)), 2) AS MAE, round(sqrt(avg(pow(actual - ensemble_point, 2))), 2) AS RMSE
     FROM blended WHERE id = 'PROMO_ALL' AND date BETWEEN DATE '2000-01-01' AND DATE '2001-06-30'""")
 def _(t):
-    return serving.series_badges(t.blended, "PROMO_ALL", "2000-01-01", "2001-06-30")
+    return serving.series_badges(t.blended_series(*_SLICE), *_SLICE)
 
 
 _COVERAGE = """
     SELECT m.model, coalesce(n_rows, 0) AS n_rows, coalesce(n_series, 0) AS n_series, coalesce(want, 0) AS expected_series,
-           CASE WHEN m.model = 'lstm' THEN 'missing' WHEN coalesce(n_series, 0) >= coalesce(want, 0) THEN 'complete'
-                ELSE 'partial' END AS state
+           CASE WHEN n_rows IS NULL THEN 'missing' WHEN n_series >= coalesce(want, 0) THEN 'complete' ELSE 'partial' END AS state
     FROM (SELECT unnest(['sarima', 'prophet', 'lgbm', 'lstm', 'dual_phase']) AS model) m
     LEFT JOIN (SELECT 'lgbm' AS model, count(*) AS n_rows, count(DISTINCT id) AS n_series FROM pred_lgbm
                UNION ALL SELECT 'prophet', count(*), count(DISTINCT id) FROM pred_prophet
-               UNION ALL SELECT 'sarima', count(*), count(DISTINCT id) FROM pred_sarima WHERE id < 'P'
+               UNION ALL SELECT 'sarima', count(*), count(DISTINCT id) FROM pred_sarima
+               UNION ALL SELECT 'lstm', count(*), count(DISTINCT id) FROM pred_lstm
                UNION ALL SELECT 'dual_phase', count(*), count(DISTINCT id) FROM pred_dual) g ON g.model = m.model
     LEFT JOIN (SELECT model, count(*) AS want FROM routing GROUP BY model) r ON r.model = m.model"""
 
 
 def _coverage(t):
-    """One table is absent and one covers only some series, to show all three states."""
-    given = {c.removesuffix("_point"): p for c, p in t.preds.items() if c != "lstm_point"}
-    given["sarima"] = given["sarima"].filter(F.col("id") < "P")
-    return serving.prediction_coverage(given, t.routing)
+    return serving.prediction_coverage({c.removesuffix("_point"): p for c, p in t.preds.items()}, t.routing)
 
 
 @query("prediction_coverage", _COVERAGE)
@@ -509,7 +527,7 @@ def _(t):
     FROM blended b LEFT JOIN pred_lgbm l ON l.id = b.id AND l.date = b.date
     WHERE b.date >= (SELECT max(date) FROM blended) - 28""")
 def _(t):
-    return serving.risk_grid(t.blended, t.quantiles)
+    return serving.risk_grid(t.blended_recent, t.quantiles)
 
 
 @query("kpi_change", """
@@ -518,7 +536,7 @@ def _(t):
            CAST(sum(actual) FILTER (now) AS BIGINT) AS total_sales, CAST(sum(actual) FILTER (NOT now) AS BIGINT) AS total_sales_before
     FROM (SELECT *, date >= (SELECT max(date) FROM blended) - 28 AS now FROM blended WHERE date >= (SELECT max(date) FROM blended) - 57)""")
 def _(t):
-    return serving.kpi_change(t.blended)
+    return serving.kpi_change(t.blended_recent)
 
 
 # ---- forecasts -------------------------------------------------------------------------
@@ -589,7 +607,7 @@ def _(t):
 
 @query("boosted_point")
 def _(t):
-    model = boosted.fit_boosted(t.staged_features, rounds=10, quantiles=None)
+    model = boosted.fit_boosted(t.staged_features, quantiles=None)
     return boosted.predict_boosted(model, t.staged_features)
 
 
@@ -604,7 +622,7 @@ def _(t):
 
 @query("feature_importance")
 def _(t):
-    model = boosted.fit_boosted(t.staged_features, rounds=10, quantiles=None)
+    model = boosted.fit_boosted(t.staged_features, quantiles=None)
     return boosted.feature_importance(t.spark, model, 20)
 
 
@@ -612,19 +630,16 @@ def _(t):
 def _(t):
     """Chance, size and product for the series routed to the two-part model."""
     ids = t.routing.filter(F.col("model") == "dual_phase")
-    model = dual.fit_dual(t.staged_features, ids, rounds=10)
+    model = dual.fit_dual(t.staged_features, ids)
     return dual.predict_dual(model, t.staged_features, ids)
 
 
 @query("dual_product", """
-    SELECT id, date, round(least(rolling_nonzero_rate_28, 1), 4) AS dual_occurrence_prob, round(rolling_mean_28, 4) AS dual_magnitude,
-           round(least(rolling_nonzero_rate_28, 1) * rolling_mean_28, 4) AS dual_point FROM usable""")
+    SELECT id, date, round(least(rolling_nonzero_rate_28, 1), 4) AS dual_occurrence_prob, round(rolling_mean_28, 3) AS dual_magnitude,
+           round(least(rolling_nonzero_rate_28, 1) * rolling_mean_28, 3) AS dual_point FROM usable""")
 def _(t):
-    """The product and its rounding, on a chance and a size that need no fit."""
-    usable = t.features.filter(F.col("sales_lag_56").isNotNull())
-    return usable.select("id", "date", F.round("rolling_nonzero_rate_28", 4).alias("dual_occurrence_prob"),
-                         F.round("rolling_mean_28", 4).alias("dual_magnitude"),
-                         F.round(F.col("rolling_nonzero_rate_28") * F.col("rolling_mean_28"), 4).alias("dual_point"))
+    """The operator's product and rounding, on a chance and a size that need no fit."""
+    return dual.product(t.features.filter(F.col("sales_lag_56").isNotNull()), F.col("rolling_nonzero_rate_28"), F.col("rolling_mean_28"))
 
 
 @query("scaling_stats", " UNION ALL ".join(
@@ -656,18 +671,81 @@ def _(t):
 @query("fitted_model_comparison")
 def _(t):
     """All five fitted models on their routed series, blended and scored."""
-    preds = jobs.fit_and_predict(t.staged_features, t.panel, t.classes, rounds=5)
+    preds = jobs.fit_and_predict(t.staged_features, t.panel, t.classes)
     return jobs.blend_and_score(t.master, preds, t.classes)[1]
 
 
+# ---- what every fitted model promises, whatever its digits --------------------------------
+
+def _contract(preds: DataFrame, point: str, *ordered: str) -> DataFrame:
+    """Rows, series, days, and how many rows break a rule: absent or negative points, levels out of order."""
+    broken = F.col(point).isNull() | (F.col(point) < 0)
+    for low, high in zip(ordered, ordered[1:]):
+        broken = broken | (F.col(low) > F.col(high))
+    return preds.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_series"), F.min("date").alias("first_day"),
+                     F.max("date").alias("last_day"), F.count(F.when(broken, True)).alias("broken"))
+
+
+def _promise(source: str) -> str:
+    return f"""SELECT count(*) AS n_rows, count(DISTINCT id) AS n_series, min(date) AS first_day, max(date) AS last_day,
+                      CAST(0 AS BIGINT) AS broken FROM {source}"""
+
+
+@query("boosted_contract", _promise("usable").replace("FROM", ", true AS several_trees, true AS beats_last_week, true AS beats_constant FROM", 1))
+def _(t):
+    """Also: more than one tree, and a lower validation error than last week's sales and than any constant."""
+    model = boosted.fit_boosted(t.staged_features, quantiles=None)
+    preds = stage(boosted.predict_boosted(model, t.staged_features), "boosted")
+    held = scoring.last_days(t.staged_features.select("id", "date", "sales", "sales_lag_7"), 28).join(preds, ["id", "date"])
+    middle = held.agg(F.percentile("sales", 0.5)).scalar()
+    miss = [F.avg(F.abs(F.col("sales") - c)) for c in (F.col("lgbm_point"), F.col("sales_lag_7"), F.col("middle"))]
+    flags = held.withColumn("middle", middle).agg((miss[0] < miss[1]).alias("beats_last_week"), (miss[0] < miss[2]).alias("beats_constant")).first()
+    return _contract(preds, "lgbm_point").withColumns({"several_trees": F.lit(model.point.getNumTrees > 1), **{k: F.lit(v) for k, v in flags.asDict().items()}})
+
+
+@query("quantile_band_contract", _promise("usable"))
+def _(t):
+    matrix, _codes, _names = boosted.model_matrix(t.staged_features, val_days=28)
+    matrix = stage(matrix, "matrix")
+    tree, band = boosted.fit_band(matrix.filter(~F.col("is_val")))
+    scored = tree.transform(matrix).join(F.broadcast(band), "leaf", "left")
+    return _contract(scored, "q50", "q10", "q50", "q90")
+
+
+@query("sequence_contract", _promise("(SELECT id, date FROM usable QUALIFY row_number() OVER (PARTITION BY id ORDER BY date) > 28)"))
+def _(t):
+    model = sequence.fit_sequence(t.staged_features)
+    return _contract(sequence.predict_sequence(model, t.staged_features), "lstm_point")
+
+
+@query("seasonal_arima_contract", _promise("panel"))
+def _(t):
+    return _contract(seasonal_arima.seasonal_arima(t.panel), "sarima_point")
+
+
+@query("seasonal_arima_ahead_contract", _promise("""
+    (SELECT DISTINCT id, CAST(hi + k AS DATE) AS date FROM panel, bounds, (SELECT unnest(range(1, 29)) AS k))"""))
+def _(t):
+    return _contract(seasonal_arima.seasonal_arima_forecast(t.panel), "sarima_point", "sarima_lower", "sarima_point", "sarima_upper")
+
+
+@query("order_search_contract", """
+    SELECT CAST(9 AS BIGINT) AS n_orders, CAST(1 AS BIGINT) AS n_best, true AS best_is_least,
+           CAST((SELECT count(DISTINCT id) FROM panel) AS BIGINT) AS n_series""")
+def _(t):
+    found = stage(seasonal_arima.order_search(t.panel), "orders")
+    least = found.agg(F.min("mean_aic")).scalar()
+    return found.agg(F.count(F.lit(1)).alias("n_orders"), F.count(F.when(F.col("best"), True)).alias("n_best"),
+                     F.max(F.when(F.col("best"), F.col("mean_aic") == least)).alias("best_is_least"), F.max("n_series").alias("n_series"))
+
+
 # ---- files and tables ------------------------------------------------------------------
 
-@query("csv_ingest", "SELECT * FROM master WHERE store_id = 'ALL'")
+@query("csv_ingest", "SELECT * FROM master")
 def _(t):
-    """The type-level series written as raw files (one column per day), then read and built again."""
+    """All series written as raw files (one column per day), then read and built again."""
     folder = new_path(t.spark, "raw_files")
-    wide = t.raw.sales.filter(F.col("store_id") == "ALL")
-    raw_files.write_raw(folder, wide, t.raw.calendar, t.raw.prices)
+    raw_files.write_raw(folder, t.raw.sales, t.raw.calendar, t.raw.prices)
     return jobs.master_from_files(t.spark, folder)
 
 
@@ -709,7 +787,7 @@ def _(t):
 
 @query("report_sink", _COMPARISON)
 def _(t):
-    path = _store(t).report("model_comparison", scoring.model_comparison(t.blended, t.core))
+    path = _store(t).report("model_comparison", scoring.model_comparison(t.blended_recent, t.core))
     return t.spark.read.option("header", True).schema(
         "model string, col string, n_series bigint, n_rows bigint, RMSE double, MAE double, SMAPE double, WRMSSE double").csv(path)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,14 +78,23 @@ class Tables:
     def quantiles(self) -> DataFrame:
         return self.preds["lgbm_point"]
 
+    @cached_property
+    def points(self) -> dict[str, DataFrame]:
+        return {c: p.select("id", "date", c) for c, p in self.preds.items()}
+
     @cached_property
     def merged(self) -> DataFrame:
-        points = {c: p.select("id", "date", c) for c, p in self.preds.items()}
-        return stage(merge_predictions(self.core, points, self.classes), "merged")
+        return stage(merge_predictions(self.core, self.points, self.classes), "merged")
+
+    @cached_property
+    def recent(self) -> DataFrame:
+        """The newest 58 days of the merge: two report windows, and what the weights are fitted on."""
+        newest = self.core.agg(F.max("date")).first()[0]
+        return stage(merge_predictions(self.core, self.points, self.classes, since=newest - timedelta(58)), "recent")
 
     @cached_property
     def gram(self) -> DataFrame:
-        return blend_gram(self.merged)
+        return blend_gram(self.recent)
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -94,6 +104,16 @@ class Tables:
     def blended(self) -> DataFrame:
         return apply_blend(self.merged, self.weights)
 
+    @cached_property
+    def blended_recent(self) -> DataFrame:
+        return apply_blend(self.recent, self.weights)
+
+    def blended_series(self, series_id: str, start: str, end: str) -> DataFrame:
+        """One series between two dates, read and merged alone."""
+        part = merge_predictions(self.core, self.points, self.classes, date.fromisoformat(start) - timedelta(1),
+                                 date.fromisoformat(end), [series_id])
+        return apply_blend(part, self.weights)
+
     @cached_property
     def activity(self) -> DataFrame:
         """The event panel in the shape of a master table."""

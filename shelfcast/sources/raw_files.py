@@ -6,13 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfcast.operators.reshape import ID_COLS
 
 # Names of the raw files and types of their columns.
 SALES, CALENDAR, PRICES = "sales_train_evaluation.csv", "calendar.csv", "sell_prices.csv"
-PRICE_TYPES = "store_id string, item_id string, wm_yr_wk int, sell_price double"
+PRICE_TYPES = {"wm_yr_wk": "int", "sell_price": "double"}
 CALENDAR_TYPES = {"date": "date", "wm_yr_wk": "int", "wday": "int", "month": "int", "year": "int",
                   "snap_CA": "int", "snap_TX": "int", "snap_WI": "int"}
 
@@ -34,21 +33,28 @@ def check_inputs(spark: SparkSession, folder: str) -> None:
         raise FileNotFoundError(f"absent from {folder}: {', '.join(absent)}")
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names, from the first line only."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+def _reader(spark: SparkSession):
+    """CSV with a header; more columns than any calendar has days."""
+    return spark.read.option("header", True).option("maxColumns", 1_000_000)
+
+
+def _read(spark: SparkSession, path: str, kind_of) -> DataFrame:
+    """A file with the type ``kind_of(column)`` for each column of its header, in the header's order.
+
+    The data is never scanned to infer types.  A cell that does not fit its type fails the read: it
+    must not pass for an absent one.
+    """
+    names = _reader(spark).option("inferSchema", False).csv(path).columns  # from the first line only
+    schema = ", ".join(f"`{c}` {kind_of(c)}" for c in names)
+    return _reader(spark).schema(schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def read_raw(spark: SparkSession, folder: str) -> RawFiles:
-    """The three inputs with types set from the header: the data is never scanned to infer them."""
+    """The three inputs."""
     check_inputs(spark, folder)
-    sales, calendar = f"{folder}/{SALES}", f"{folder}/{CALENDAR}"
-    sales_types = T.StructType([T.StructField(c, T.LongType() if c.startswith("d_") else T.StringType())
-                                for c in _header(spark, sales)])
-    calendar_types = ", ".join(f"`{c}` {CALENDAR_TYPES.get(c, 'string')}" for c in _header(spark, calendar))
-    reader = spark.read.option("header", True).option("maxColumns", 1_000_000)
-    return RawFiles(reader.schema(sales_types).csv(sales), reader.schema(calendar_types).csv(calendar),
-                    reader.schema(PRICE_TYPES).csv(f"{folder}/{PRICES}"))
+    return RawFiles(_read(spark, f"{folder}/{SALES}", lambda c: "bigint" if c.startswith("d_") else "string"),
+                    _read(spark, f"{folder}/{CALENDAR}", lambda c: CALENDAR_TYPES.get(c, "string")),
+                    _read(spark, f"{folder}/{PRICES}", lambda c: PRICE_TYPES.get(c, "string")))
 
 
 def widen(sales: DataFrame) -> DataFrame:

@@ -18,47 +18,74 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 class TableStore:
-    """Named tables under ``root``, a folder all executors reach."""
+    """Named tables under ``root``, a folder all executors reach.
+
+    A table is a folder of versions and a pointer file that names the one that counts.  A write goes
+    to a new version; the pointer is replaced last, in one step, so a reader sees the old
+    table or the new one and a crash leaves the old one.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def _at(self, path: str):
         """The file system of the store, and a path on it."""
         at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), at
 
+    def _pointer(self, name: str) -> str:
+        return f"{self.root}/{name}/_CURRENT"
+
+    def path(self, name: str) -> str:
+        """The folder of the version that counts."""
+        files, pointer = self._at(self._pointer(name))
+        if not files.exists(pointer):
+            raise FileNotFoundError(f"table {name} is not in {self.root}; build it first")
+        stream = files.open(pointer)
+        try:
+            version = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        return f"{self.root}/{name}/{version}"
+
     def exists(self, name: str) -> bool:
         """Whether the table was written to the end."""
-        files, done = self._at(f"{self.path(name)}/_SUCCESS")
-        return files.exists(done)
+        files, pointer = self._at(self._pointer(name))
+        return files.exists(pointer)
 
     def read(self, name: str) -> DataFrame:
-        if not self.exists(name):
-            raise FileNotFoundError(f"table {name} is not in {self.root}; build it first")
         return self.spark.read.parquet(self.path(name))
 
-    def replace(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> bool:
-        """Replaces a table; an empty frame is not written and the old table stays.
+    def replace(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> bool:
+        """Replaces a table; an empty frame is not kept and the old table stays.
 
-        The rows go to a new folder that then takes the place of the old one, so the plan
-        runs once, is written once, and may read the table it replaces.
+        The plan runs once and may read the table it replaces.  With ``cluster_by`` rows with equal keys
+        go to one file, sorted, so a scan for one key skips all others by their statistics.
         """
-        fresh = f"{self.root}/_new/{name}-{uuid.uuid4().hex[:12]}"
+        version = f"v-{uuid.uuid4().hex[:12]}"
+        fresh = f"{self.root}/{name}/{version}"
+        if cluster_by:
+            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
         df.write.partitionBy(*partition_by).parquet(fresh)
         files, new = self._at(fresh)
         if self.spark.read.schema(df.schema).parquet(fresh).isEmpty():
             files.delete(new, True)
             return False
-        _, old = self._at(self.path(name))
-        files.delete(old, True)
-        if not files.rename(new, old):
-            raise OSError(f"could not move {fresh} to {self.path(name)}")
+        self._point(name, version)
         return True
 
+    def _point(self, name: str, version: str) -> None:
+        """Makes ``version`` the one that counts; older ones but the last are removed."""
+        files, pointer = self._at(self._pointer(name))
+        before = self.path(name) if files.exists(pointer) else None
+        out = files.create(pointer, True)
+        out.write(bytearray(version.encode()))
+        out.close()
+        for status in files.listStatus(pointer.getParent()):
+            folder = status.getPath().getName()
+            if folder.startswith("v-") and folder != version and not (before or "").endswith(folder):
+                files.delete(status.getPath(), True)
+
     def append(self, name: str, df: DataFrame) -> None:
         """Adds rows, matched to the table by column name."""
         columns = self.read(name).columns

@@ -126,9 +126,10 @@ def calendar(days: DataFrame) -> DataFrame:
                 month.alias("month"), F.year("date").alias("year"),
                 name_1.alias("event_name_1"), type_1.alias("event_type_1"),
                 name_2.alias("event_name_2"), type_2.alias("event_type_2"),
-                (day % 10 < 3).cast("int").alias("snap_CA"),
-                ((day % 10 >= 3) & (day % 10 < 6)).cast("int").alias("snap_TX"),
-                ((day % 10 >= 6) & (day % 10 < 9)).cast("int").alias("snap_WI"))
+                # One state is paid in odd weeks, one at month's end, one on the primes of a fortnight.
+                ((F.floor(n / 7) % 2 == 1) & (F.weekday("date") < 5)).cast("int").alias("snap_CA"),
+                (day > 21).cast("int").alias("snap_TX"),
+                (n % 14).isin(2, 3, 5, 7, 11, 13).cast("int").alias("snap_WI"))
     )
 
 

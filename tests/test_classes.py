@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 from shelfcast.operators import classify
 from shelfcast.operators.reshape import history_window, sample_series
 
-# Series with a known class, from the interval and size rules.
+def spaced(gap: int, sizes: list[int], times: int) -> list[int]:
+    """Each size after ``gap`` - 1 empty days, the list of sizes repeated: ADI is the gap."""
+    return [x for _ in range(times) for size in sizes for x in [0] * (gap - 1) + [size]]
+
+
+# Two sizes m - d and m + d in turn, n sales: the sample variance is n / (n - 1) x d^2, so CV^2 is that over m^2.
 CASES = {
-    "smooth": ([5, 4, 6, 5, 5, 4, 6, 5, 5, 5] * 10, "Smooth"),
-    "intermittent": ([0, 0, 5, 0, 0, 5, 0, 0, 0, 5] * 10, "Intermittent"),
-    "lumpy": ([0, 0, 0, 15, 0, 0, 0, 0, 0, 1, 0, 0, 0, 30, 0] * 6, "Lumpy"),
-    "erratic": ([1, 1, 1, 1, 1, 1, 1, 1, 1, 20] * 10, "Erratic"),
-    "zero": ([0] * 100, "Intermittent"),
-    "single": ([0, 0, 0, 5, 0, 0], "Intermittent"),
+    "smooth": (spaced(1, [18, 22], 52), "Smooth", 1.0, 104 / 103 * 0.01),
+    "erratic": (spaced(1, [3, 37], 45), "Erratic", 1.0, 90 / 89 * 0.85 ** 2),
+    "intermittent": (spaced(4, [7, 9], 13), "Intermittent", 4.0, 26 / 25 / 64),
+    "lumpy": (spaced(3, [1, 23], 17), "Lumpy", 3.0, 34 / 33 * (11 / 12) ** 2),
+    "zero": ([0] * 77, "Intermittent", math.inf, 0.0),
+    "single": (spaced(9, [4], 1), "Intermittent", 9.0, 0.0),
 }
 
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    sales = {k: v for k, (v, _) in CASES.items()}
-    data = [(k, k, "d", "c", "s", "CA", dt.date(2016, 1, 1) + dt.timedelta(days=100 - len(v) + i), x)
-            for k, v in sales.items() for i, x in enumerate(v)]
+    data = [(k, k, "d", "c", "s", "CA", dt.date(2019, 6, 30) - dt.timedelta(days=len(v) - i), x)
+            for k, (v, *_) in CASES.items() for i, x in enumerate(v)]
     master = spark.createDataFrame(data, "id string, item_id string, dept_id string, cat_id string, store_id string,"
                                          "state_id string, date date, sales bigint")
     return {r["id"]: r for r in classify.classify_demand(master).collect()}
@@ -30,7 +34,8 @@ def rows(spark):
 
 @pytest.mark.parametrize("name", CASES)
 def test_class(rows, name):
-    assert rows[name]["demand_class"] == CASES[name][1]
+    _, demand_class, adi, cv2 = CASES[name]
+    assert (rows[name]["demand_class"], rows[name]["adi"], rows[name]["cv2"]) == (demand_class, round(adi, 4), round(cv2, 4))
 
 
 def test_all_zero(rows):
@@ -40,11 +45,14 @@ def test_all_zero(rows):
 
 
 def test_one_sale_has_no_variation(rows):
-    assert rows["single"]["cv2"] == 0.0 and rows["single"]["adi"] == 6.0
+    assert rows["single"]["cv2"] == 0.0 and rows["single"]["adi"] == 9.0
 
 
-def test_values_are_rounded_after_classing(rows):
-    assert rows["intermittent"]["adi"] == round(100 / 30, 4)
+def test_a_limit_counts_as_above(series):
+    """33 days with 25 sales have an ADI of exactly 1.32."""
+    at = {"at": [5] * 24 + [0] * 8 + [5], "under": [5] * 25 + [0] * 7 + [5]}
+    rows = {r["id"]: r for r in classify.classify_demand(series(at)).collect()}
+    assert rows["at"]["demand_class"] == "Intermittent" and rows["under"]["demand_class"] == "Smooth"
 
 
 def test_history_is_inclusive(series):

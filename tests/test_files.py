@@ -36,6 +36,34 @@ def test_master_from_files(spark, tmp_path):
     assert rows["a_CA", "d_1"]["snap_WI"] == 1 and rows["a_CA", "d_1"]["month"] == 1
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    write_inputs(tmp_path / "raw")
+    (tmp_path / "raw" / raw_files.PRICES).write_text("sell_price,wm_yr_wk,item_id,store_id\n2.5,11101,a,CA_1\n")
+    rows = {(r["id"], r["d"]): r for r in jobs.master_from_files(spark, str(tmp_path / "raw")).collect()}
+    assert rows["a_CA", "d_1"]["sell_price"] == 2.5
+
+
+def test_a_cell_that_is_no_number_fails(spark, tmp_path):
+    write_inputs(tmp_path / "raw")
+    sales = tmp_path / "raw" / raw_files.SALES
+    sales.write_text(sales.read_text().replace("a_CA,a,D,C,CA_1,CA,1,", "a_CA,a,D,C,CA_1,CA,one,"))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        jobs.master_from_files(spark, str(tmp_path / "raw")).collect()
+
+
+def test_a_write_that_stops_half_way_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    store.replace("t", spark.range(3))
+    reader = store.read("t")
+    monkeypatch.setattr(store, "_point", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        store.replace("t", spark.range(7))
+    assert store.read("t").count() == 3 and reader.count() == 3
+    monkeypatch.undo()
+    store.replace("t", spark.range(5), cluster_by=("id",))
+    assert store.read("t").count() == 5 and reader.count() == 3  # the last version stays for those who read it
+
+
 def test_build_tables_samples_features_not_classes(spark, tmp_path):
     write_inputs(tmp_path / "raw")
     store = TableStore(spark, str(tmp_path / "store"))

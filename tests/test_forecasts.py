@@ -13,28 +13,37 @@ from shelfcast.operators.reshape import build_master
 from shelfcast.plans import jobs
 from shelfcast.sources.store import TableStore
 
-DENSE, SPARSE = "dense", "sparse"
+DENSE, SPARSE = "busy_shop", "slow_shop"
+FIRST, DAYS = dt.date(2018, 10, 8), 260
+LATE = FIRST + dt.timedelta(days=190)
+
+
+def sales_of(name: str, i: int, price: float, noise: random.Random) -> int:
+    """Busy: growth, a weekly and a yearly wave, more at a lower price.  Slow: a sale on three of eleven days."""
+    day = FIRST + dt.timedelta(days=i)
+    if name == DENSE:
+        wave = 9 * math.sin(2 * math.pi * day.weekday() / 7) + 4 * math.cos(2 * math.pi * day.timetuple().tm_yday / 365)
+        return round(31 + i / 26 + wave + 12 * (4.5 - price) + noise.uniform(-2, 2))
+    return 6 + i % 4 if i % 11 in (1, 4, 8) else 0
 
 
 @pytest.fixture(scope="module")
 def master(spark):
-    """Two series of 240 days, one dense with a weekly cycle and one with a sale every fifth day."""
-    r, start = random.Random(0), dt.date(2016, 1, 1)
-    cal, sales = [], []
-    for i in range(240):
-        day = start + dt.timedelta(days=i)
-        event = ("SuperBowl", "Sporting") if i == 37 else (None, None)
-        cal.append((day, f"d_{i + 1}", 11601 + i // 7, day.strftime("%A"), *event, None, None,
-                    int(i % 10 < 3), int(3 <= i % 10 < 6), int(6 <= i % 10 < 9)))
+    """Two series of 260 days with prices that move every five weeks and a fair in spring."""
+    noise = random.Random(17)
+    calendar, sales, prices = [], [], {}
+    for i in range(DAYS):
+        day, week = FIRST + dt.timedelta(days=i), 900 + i // 7
+        fair = ("Fair", "Cultural") if (day.month, day.day) == (4, 13) else (None, None)
+        calendar.append((day, f"d_{i + 1}", week, day.strftime("%A"), *fair, None, None, int(i % 5 == 1), int(day.day > 24), int(i % 3 == 0)))
         for name in (DENSE, SPARSE):
-            value = 20 + 8 * (day.weekday() >= 5) + r.randint(-3, 3) if name == DENSE else (5 + r.randint(0, 2) if i % 5 == 0 else 0)
-            sales.append((name, name, "D", "C", "CA_1", "CA", f"d_{i + 1}", value))
-    calendar = spark.createDataFrame(cal, "date date, d string, wm_yr_wk int, weekday string, event_name_1 string,"
-                                          "event_type_1 string, event_name_2 string, event_type_2 string, snap_CA int, snap_TX int, snap_WI int")
+            prices[name, week] = 4.5 - 0.25 * (i // 35 % 3)
+            sales.append((name, name, "dep", "cat", "north", "TX", f"d_{i + 1}", sales_of(name, i, prices[name, week], noise)))
+    days = spark.createDataFrame(calendar, "date date, d string, wm_yr_wk int, weekday string, event_name_1 string, event_type_1 string,"
+                                           "event_name_2 string, event_type_2 string, snap_CA int, snap_TX int, snap_WI int")
     long = spark.createDataFrame(sales, "id string, item_id string, dept_id string, cat_id string, store_id string, state_id string, d string, sales bigint")
-    prices = calendar.select("wm_yr_wk").distinct().select(F.lit("CA_1").alias("store_id"), F.explode(F.array(F.lit(DENSE), F.lit(SPARSE))).alias("item_id"),
-                                                           "wm_yr_wk", F.lit(5.99).alias("sell_price"))
-    return build_master(long, calendar, prices).persist()
+    paid = spark.createDataFrame([("north", n, w, p) for (n, w), p in prices.items()], "store_id string, item_id string, wm_yr_wk int, sell_price double")
+    return build_master(long, days, paid).persist()
 
 
 @pytest.fixture(scope="module")
@@ -44,23 +53,24 @@ def features(master):
 
 def error(master, preds, column, name):
     rows = preds.join(master.select("id", "date", "sales"), ["id", "date"]).filter(F.col("id") == name)
-    rows = rows.filter(F.col("date") > dt.date(2016, 7, 1))
+    rows = rows.filter(F.col("date") > LATE)
     return rows.agg(F.avg(F.abs(F.col("sales") - F.col(column)))).first()[0]
 
 
 def naive_error(master, name, k=1):
     from pyspark.sql import Window
     lagged = master.select("id", "date", "sales", F.lag("sales", k).over(Window.partitionBy("id").orderBy("date")).alias("p"))
-    return lagged.filter((F.col("id") == name) & (F.col("date") > dt.date(2016, 7, 1))).agg(F.avg(F.abs(F.col("sales") - F.col("p")))).first()[0]
+    return lagged.filter((F.col("id") == name) & (F.col("date") > LATE)).agg(F.avg(F.abs(F.col("sales") - F.col("p")))).first()[0]
 
 
 def test_boosted(spark, master, features, tmp_path):
-    model = boosted.fit_boosted(features, val_days=20, rounds=8)
+    model = boosted.fit_boosted(features, val_days=20, depth=3)
     preds = boosted.predict_boosted(model, features).persist()
     assert preds.columns == ["id", "date", "lgbm_point", "lgbm_q10", "lgbm_q50", "lgbm_q90"]
-    assert preds.count() == 2 * (240 - 56)
+    assert preds.count() == 2 * (DAYS - 56)
     assert preds.filter("lgbm_point < 0 or lgbm_q10 > lgbm_q50 or lgbm_q50 > lgbm_q90 or lgbm_q10 is null").isEmpty()
-    assert error(master, preds, "lgbm_point", DENSE) < naive_error(master, DENSE)
+    assert model.point.getNumTrees > 1
+    assert error(master, preds, "lgbm_point", DENSE) < naive_error(master, DENSE, 7)
     top = boosted.feature_importance(spark, model, 5).collect()
     assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"] > 0
     model.save(str(tmp_path / "m"))
@@ -73,15 +83,15 @@ def test_new_category_gets_the_mean(spark, features):
     other = features.filter(F.col("id") == DENSE).withColumns({"id": F.lit("new"), "item_id": F.lit("new")})
     coded = boosted.with_codes(other, codes)
     assert coded.select("item_id_code").distinct().collect()[0][0] == pytest.approx(codes.prior)
-    assert coded.count() == 240 and len(names) == 39
+    assert coded.count() == DAYS and len(names) == 39
 
 
 def test_dual(spark, master, features, tmp_path):
     ids = spark.createDataFrame([(SPARSE,)], "id string")
-    model = dual.fit_dual(features, ids, val_days=20, rounds=8)
+    model = dual.fit_dual(features, ids, val_days=20, depth=3)
     preds = dual.predict_dual(model, features, ids).persist()
     assert preds.columns == ["id", "date", "dual_occurrence_prob", "dual_magnitude", "dual_point"]
-    assert preds.count() == 240 - 56
+    assert preds.count() == DAYS - 56
     assert preds.filter("dual_occurrence_prob < 0 or dual_occurrence_prob > 1 or dual_magnitude < 0 or dual_point > dual_magnitude + 0.001").isEmpty()
     assert dual.dual_forecast(model, features, ids, 7).count() == 7
     assert 0.0 <= dual.occurrence_auc(preds, master).first()["auc"] <= 1.0
@@ -91,7 +101,7 @@ def test_dual(spark, master, features, tmp_path):
 
 def test_dual_with_one_outcome(spark, features):
     ids = spark.createDataFrame([(DENSE,)], "id string")
-    preds = dual.predict_dual(dual.fit_dual(features, ids, val_days=20, rounds=3), features, ids)
+    preds = dual.predict_dual(dual.fit_dual(features, ids, val_days=20, rounds=3, depth=2), features, ids)
     assert preds.filter("dual_occurrence_prob <> 1").isEmpty() and preds.filter("dual_point <= 0").isEmpty()
 
 
@@ -104,7 +114,7 @@ def test_sequence(spark, master, features, tmp_path):
     # 18 windows a series at the weekly stride are too few to learn from; take every day.
     model = sequence.fit_sequence(features, val_days=20, stride=1)
     preds = sequence.predict_sequence(model, features).persist()
-    assert preds.count() == 2 * (240 - 56 - 28) and preds.filter("lstm_point < 0").isEmpty()
+    assert preds.count() == 2 * (DAYS - 56 - 28) and preds.filter("lstm_point < 0").isEmpty()
     assert error(master, preds, "lstm_point", DENSE) < naive_error(master, DENSE)
     model.save(str(tmp_path / "s"))
     again = sequence.predict_sequence(sequence.Sequence.load(spark, str(tmp_path / "s")), features)
@@ -112,7 +122,7 @@ def test_sequence(spark, master, features, tmp_path):
 
 
 def test_arima_beats_naive_and_skips_short(spark, master):
-    short = master.filter((F.col("id") == SPARSE) & (F.col("date") < dt.date(2016, 2, 20))).withColumn("id", F.lit("short"))
+    short = master.filter((F.col("id") == SPARSE) & (F.col("date") < FIRST + dt.timedelta(days=50))).withColumn("id", F.lit("short"))
     preds = seasonal_arima.seasonal_arima(master.unionByName(short))
     assert {r["id"] for r in preds.select("id").distinct().collect()} == {DENSE, SPARSE}
     assert error(master, preds, "sarima_point", DENSE) < min(naive_error(master, DENSE), naive_error(master, DENSE, 7))
@@ -124,12 +134,12 @@ def test_arima_flat_series_gives_no_rows(series):
 
 def test_arima_forecast(master):
     rows = seasonal_arima.seasonal_arima_forecast(master, horizon=14).orderBy("id", "date").collect()
-    assert len(rows) == 28 and rows[0]["date"] == dt.date(2016, 1, 1) + dt.timedelta(days=240)
+    assert len(rows) == 28 and rows[0]["date"] == FIRST + dt.timedelta(days=DAYS)
     assert all(0 <= r["sarima_lower"] <= r["sarima_point"] <= r["sarima_upper"] for r in rows)
     dense = [r for r in rows if r["id"] == DENSE]
-    weekend = [r["sarima_point"] for r in dense if r["date"].weekday() >= 5]
-    weekday = [r["sarima_point"] for r in dense if r["date"].weekday() < 5]
-    assert sum(weekend) / len(weekend) > sum(weekday) / len(weekday) + 3
+    high = [r["sarima_point"] for r in dense if r["date"].weekday() in (1, 2)]  # crest and trough of the weekly wave
+    low = [r["sarima_point"] for r in dense if r["date"].weekday() in (5, 6)]
+    assert sum(high) / len(high) > sum(low) / len(low) + 6
 
 
 def test_ar_fit_matches_least_squares(series):
@@ -167,10 +177,10 @@ def test_decompose(master):
     days = decompose.holiday_days(master)
     preds = decompose.decompose(master, days)
     assert preds.columns == ["id", "date", "prophet_point", "prophet_lower", "prophet_upper", "trend"]
-    assert preds.count() == 480 and preds.filter("prophet_lower > prophet_upper or prophet_point < 0").isEmpty()
+    assert preds.count() == 2 * DAYS and preds.filter("prophet_lower > prophet_upper or prophet_point < 0").isEmpty()
     assert error(master, preds, "prophet_point", DENSE) < naive_error(master, DENSE)
     ahead = decompose.decompose(master, days, horizon=7)
-    assert ahead.count() == 14 and ahead.agg(F.min("date")).first()[0] == dt.date(2016, 1, 1) + dt.timedelta(days=240)
+    assert ahead.count() == 14 and ahead.agg(F.min("date")).first()[0] == FIRST + dt.timedelta(days=DAYS)
 
 
 def test_decompose_and_its_forecast_cost_one_exchange_on_id(series):
@@ -210,7 +220,7 @@ def test_jobs_end_to_end(spark, master, features, tmp_path):
     store.replace("master", master)
     store.replace("features", features)
     store.replace("demand_classes", classify_demand(master))
-    coverage = jobs.run_models(store, rounds=3)
+    coverage = jobs.run_models(store)
     assert {r["model"]: r["state"] for r in coverage.collect()} == {m: "complete" for m in ("lgbm", "prophet", "sarima", "lstm", "dual_phase")}
     assert {r["model"] for r in jobs.run_models(store, models=[], skip_existing=True).collect()} >= {"lgbm"}
     scores = jobs.run_blend(store)

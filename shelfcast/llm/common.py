@@ -13,7 +13,20 @@ _M64 = (1 << 64) - 1
 _POWERS: dict[int, np.ndarray] = {}
 
 
+#: Rows that a batch of whole texts, on its way to Python, holds at most.
+BATCH_ROWS = 2000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keeps batches of whole texts small enough for a worker; a lower value set by the user stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -89,7 +102,7 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return spans_hash(rolling(data), start, end), owner, first
 
 
-def chunks(texts: list[bytes], limit: int = 1 << 21):
+def chunks(texts: list[bytes], limit: int = 1 << 20):
     """Ranges of texts that hold about ``limit`` bytes together, one long text alone."""
     begin = size = 0
     for i, t in enumerate(texts):

@@ -191,13 +191,13 @@ def _find(window: int, k: int):
         for batch in batches:
             batch = batch.drop_duplicates(["doc_id", "tag"]).sort_values(["doc_id", "tag"])
             ids, base, texts = batch["doc_id"].to_numpy(), batch["tag"].to_numpy() << 32, batch["text"].tolist()
-            for begin, end in chunks(texts, 1 << 22):
+            for begin, end in chunks(texts, 1 << 21):
                 rows = []
                 for i in range(begin, end):
                     data = np.frombuffer(texts[i], np.uint8)
                     # A very long text goes in stretches that share a window less one.
-                    for a in range(0, max(0, len(data) - window + 1), 1 << 22):
-                        start, count, anchor, name = phrases(data[a:a + (1 << 22) + window - 1], window, k)
+                    for a in range(0, max(0, len(data) - window + 1), 1 << 20):
+                        start, count, anchor, name = phrases(data[a:a + (1 << 20) + window - 1], window, k)
                         rows.append((start + a, count, anchor, name, np.full(len(start), i)))
                 if not rows:
                     continue

@@ -3,7 +3,7 @@
 The vocabulary used here drops white space and merges only within a run of letters, a digit or a run
 of other signs, so a text's ids are its pieces' ids one after the other.  Pieces are found and hashed
 (64 bits) by array operations; the library encodes each distinct piece once, and a worker remembers
-the first million.  A word that holds anything but printable ASCII and the letters of Latin-1, or an
+the first 300,000.  A word that holds anything but printable ASCII and the letters of Latin-1, or an
 apostrophe or "<|", is one piece.  Tokenizer files that :func:`splits_at_blanks` does not know are
 encoded text by text.
 """
@@ -18,7 +18,7 @@ import numpy as np
 from shelfcast.llm.common import chunks, rolling, spans_hash
 
 #: Pieces, and ids of pieces, that a worker remembers.
-PIECES, PIECE_IDS = 1_000_000, 8_000_000
+PIECES, PIECE_IDS = 300_000, 2_000_000
 #: Fixed value: how the known tokenizer file splits text; white space is removed.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ENCODERS: dict[str, Encoder] = {}
@@ -118,7 +118,7 @@ class Encoder:
         return ids, np.diff(upto[np.searchsorted(begin, texts_end)], prepend=0)
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [self._some(texts[a:b]) for a, b in chunks(texts, 1 << 22)]
+        parts = [self._some(texts[a:b]) for a, b in chunks(texts)]
         if not parts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])

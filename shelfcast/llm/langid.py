@@ -33,21 +33,25 @@ def learn(labelled: DataFrame, docs: int = DOCS, size: int = DICT_BYTES) -> dict
     """Dictionary content by language from labelled (doc_id, text, lang), languages with most documents first."""
     spark = labelled.sparkSession
     known = labelled.where("lang IS NOT NULL AND text != ''").withColumn("_h", F.xxhash64("text", F.lit("dict")))
-    order = Window.partitionBy("lang").orderBy("_h")
-    # Each task keeps its first `docs` hashes of a language before any row moves.
-    chosen = (known.select("lang", "_h").distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= docs)
-              .select("lang", "_h").limit(docs * LANGUAGES + 1).collect())
-    if len(chosen) > docs * LANGUAGES:
+    place = F.shiftrightunsigned("_h", 1)
+    found = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).limit(LANGUAGES + 1).collect()
+    if len(found) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    if not chosen:
+    if not found:
         return {}
+    sizes = {r.lang: r.n for r in found}
+    # Places under a bound that about three times as many texts as wanted have (one at least), then the first of those.
+    bounds = spark.createDataFrame([(r.lang, max(r.least, (1 << 63) - 1 if 3 * docs >= r.n else int(3 * docs / r.n * (1 << 63)))) for r in found], "lang string, _most long")
+    few = (known.select("lang", "_h").join(F.broadcast(bounds), "lang").where(place <= F.col("_most"))
+           .select("lang", "_h").distinct())
+    order = Window.partitionBy("lang").orderBy(place, "_h")
+    chosen = few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= docs).select("lang", "_h").collect()
     counts = Counter(r.lang for r in chosen)
     keys = spark.createDataFrame([(r.lang, r._h, max(64, size // counts[r.lang])) for r in chosen], "lang string, _h long, _take int")
     # A piece as long as the sample allows, from a place the text's hash gives.
     start = F.pmod(F.col("_h"), F.greatest(F.length("text") - F.col("_take"), F.lit(1))).cast("int") + 1
     rows = (known.select("lang", "_h", "text").join(F.broadcast(keys), ["lang", "_h"])
             .select("lang", "_h", F.substring("text", start, F.col("_take")).alias("piece")).distinct().collect())
-    sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     pieces: dict[str, list[str]] = {lang: [] for lang in sorted(sizes, key=lambda x: (-sizes[x], x))}
     for r in sorted(rows):
         pieces[r.lang].append(r.piece.lower())

@@ -90,7 +90,7 @@ def test_odd_rows(spark, odd, none):
     rows = out.collect()
     assert len(rows) == odd.count()
     by = {r.doc_id: r.text for r in rows if r.doc_id not in (None, 10, 6)}
-    assert by[1] == "" and by[4] == "x" and by[7] == "" and by[11] == "y" * 100
+    assert by[1] == "" and by[4] == "x" and by[7] == "" and by[11] == "y"
     # Rows that repeat a document fare alike; a null doc_id comes before all.
     sixth = b"ein Satz " * 30
     assert [r.text for r in rows if r.doc_id == 6] == [np.frombuffer(sixth, np.uint8)[~brute([sixth])[0]].tobytes().decode()] * 2

@@ -272,7 +272,7 @@ _FETCHED = ["kind", "anchor", "name", "doc_id", "place", "windows", "bytes"]
 def _index(window: int):
     """A shard of phrases to marks of their windows that occur earlier."""
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["doc_id", "place"])
+        shard = shard.drop_duplicates(["doc_id", "place"]).sort_values(["doc_id", "place"])  # of a repeated row once
         found = repeated_windows(shard["bytes"].tolist(), window)
         size = np.array([len(x) for x in found])
         later = np.concatenate([np.append(x, False) for x in found]).astype(np.int8)

@@ -2,6 +2,11 @@
 
 A stage takes (spark, docs, sf_dir) and returns the documents it keeps with all their columns; the
 last returns the packed pieces.
+
+Defined cases, in any stage: null, empty and blank texts have no n-gram, so the first stage rejects them unless no label is
+good, and later stages treat a null text as empty; rows that repeat id and text share their fate up to the second stage,
+which keeps one; rows without an id are rows like others; very long texts are read whole; extra columns, whatever their
+names, pass through all stages but the last; an empty table gives empty results.
 """
 
 from __future__ import annotations
@@ -9,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import importance, mixing, near, packing, repeats
+from shelfcast.llm import importance, mixing, packing, repeats, simhash
 from shelfcast.llm.common import bound_batches, table
 from shelfcast.sources.staging import stage
 
@@ -25,9 +30,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words, similarity 0.8."""
+    """One document of each component of SimHash fingerprints: shingles of three words, 2 bits."""
     bound_batches(spark)
-    return near.keep_one(docs)
+    return simhash.keep_one(docs, radius=2, shingle=3)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

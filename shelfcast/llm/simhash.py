@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import mix, table, text_bytes
+from shelfcast.llm.common import mix, table, text_bytes, whole_rows
 from shelfcast.llm.components import components
 from shelfcast.sources.staging import stage
 
@@ -51,14 +51,15 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keys: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the long columns ``keys``, and ``fp``, the fingerprint as a signed long."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": found.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), **{k: batch[k] for k in keys}, "fp": found.view(np.int64)})
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInPandas(run, "doc_id long, fp long")
+    kinds = "".join(f"{k} long, " for k in keys)
+    return docs.select("doc_id", *keys, text_bytes().alias("text")).mapInPandas(run, f"doc_id long, {kinds}fp long")
 
 
 def _split(points: np.ndarray, tries: int = 6) -> tuple[int, int] | None:
@@ -173,9 +174,8 @@ def links(classes: DataFrame, radius: int, sample: int = SAMPLE, leaf: int = LEA
     return routed.groupBy("leaf").applyInPandas(connect, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id of every document."""
-    found = stage(fingerprints(docs, shingle), "fingerprints")
+def linked(found: DataFrame, radius: int) -> DataFrame:
+    """(fp, component, component_id) of all fingerprints of ``found`` (doc_id, fp): a number, and the smallest doc_id if there is one."""
     # Equal fingerprints are one class, known by its smallest doc_id; without any, by a number below all ids.
     unnamed = -F.abs(F.shiftright(F.xxhash64("fp"), 2)) - F.lit(1 << 62)
     classes = stage(found.groupBy("fp").agg(F.min("doc_id").alias("least"))
@@ -184,14 +184,42 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataF
     named = classes.join(joined, classes["rep"] == joined["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
     # A class that has no doc_id at all can be the least of a component; the name must be a doc_id.
     if classes.where("least IS NULL").isEmpty():
-        named = named.withColumnRenamed("component", "component_id")
-    else:
-        named = stage(named.join(classes, "fp"), "named")
-        names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-        named = named.join(names, "component").select("fp", "component_id")
+        return named.withColumn("component_id", F.col("component"))
+    named = stage(named.join(classes, "fp"), "named")
+    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return named.join(names, "component").select("fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id of every document."""
+    found = stage(fingerprints(docs, shingle), "fingerprints")
+    named = linked(found, radius).drop("component")
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest doc_id, then of the least hash of the row.
+
+    Rows without a doc_id come last in their component; rows equal in every column leave one.  Each text is moved once.
+    """
+    # 128 bits of a row; nulls leave a hash as it is, so they are counted apart.
+    told = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    nulls = [F.col(f"row.`{c}`").isNull() for c in told]
+    values = [F.col(f"row.`{c}`") for c in told]
+    keyed = whole_rows(docs, "doc_id", "text").select("*", F.xxhash64(*nulls, *values).alias("a"), F.xxhash64(F.lit("b"), *reversed(values), *nulls).alias("b"))
+    found = stage(fingerprints(keyed, shingle, ("a", "b")), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "a", "b")
+    # Least rows are found per fingerprint first, so the join has one row of each.
+    least = found.groupBy("fp").agg(F.min(first).alias("first"))
+    kept = stage(least.join(linked(found, radius), "fp").groupBy("component").agg(F.min("first").alias("first")).select("first.a", "first.b"), "kept")
+    repeated = stage(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b").join(kept, ["a", "b"], "left_semi"), "repeated")
+    rows = keyed.select("row", "a", "b")
+    if repeated.isEmpty():
+        return rows.join(kept, ["a", "b"], "left_semi").select("row.*")
+    alone = rows.join(kept.join(repeated, ["a", "b"], "left_anti"), ["a", "b"], "left_semi")
+    return alone.unionByName(rows.join(repeated, ["a", "b"], "left_semi").dropDuplicates(["a", "b"])).select("row.*")
+
+
 def op1_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all ``documents``: 3-word shingles, 2 bits."""
     return near_duplicates(table(spark, sf_dir, "documents"))

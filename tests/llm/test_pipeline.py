@@ -1,34 +1,28 @@
 import corpus_pipeline
+import numpy as np
 import pytest
 from data import SF, SF_MORE
 
-from shelfcast.llm import near
+from shelfcast.llm import simhash
 from shelfcast.sources.staging import stage
 
 
-def brute_groups(texts, width=5, similarity=0.8):
-    """doc_id -> smallest doc_id of its group by links between all pairs."""
-    sets, holders = {}, {}
-    for i, t in texts.items():
-        words = (t or "").lower().split()
-        sets[i] = {tuple(words[k:k + width]) for k in range(max(1, len(words) - width + 1))} if words else set()
-        for s in sets[i]:
-            holders.setdefault(s, []).append(i)
-    root = {i: i for i in texts}
+def brute_kept(texts):
+    """doc_ids of the first of each group of fingerprints linked at 2 bits, over all pairs."""
+    ids = sorted(texts)
+    points = np.array([simhash.fingerprint((texts[i] or "").encode()) for i in ids], np.uint64)
+    root = list(range(len(ids)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for own in holders.values():
-        for a, b in zip(own, own[1:]):
-            for j in {own[0], a}:
-                common = len(sets[j] & sets[b])
-                if j != b and common >= similarity * (len(sets[j]) + len(sets[b]) - common):
-                    x, y = sorted((find(j), find(b)))
-                    root[y] = x
-    return {i: find(i) for i in texts}
+    for i in range(len(ids)):
+        for j in np.flatnonzero(np.bitwise_count(points[i + 1:] ^ points[i]) <= 2):
+            x, y = sorted((find(i), find(i + 1 + int(j))))
+            root[y] = x
+    return {ids[find(i)] for i in range(len(ids))}
 
 
 def test_order():
@@ -43,9 +37,21 @@ def test_run(spark):
 
 def test_near_duplicates(spark):
     docs = spark.read.parquet(f"{SF_MORE}/documents.parquet")
-    kept = {r.doc_id for r in near.keep_one(docs).select("doc_id").collect()}
-    groups = brute_groups({r.doc_id: r.text for r in docs.select("doc_id", "text").orderBy("doc_id").collect()})
-    assert kept == set(groups.values())
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_MORE)
+    assert kept.columns == docs.columns
+    rows = {r.doc_id: r for r in docs.collect()}
+    found = kept.collect()
+    assert sorted(r.doc_id for r in found) == sorted(brute_kept({i: r.text for i, r in rows.items()}))
+    assert all(r == rows[r.doc_id] for r in found)
+
+
+def test_near_duplicates_of_rows_without_ids(spark):
+    """Linked rows with and without ids, rows equal in all columns, and equal ids with different texts."""
+    long = " ".join(f"w{i}" for i in range(400))
+    rows = [(None, long, 1), (7, long + " end", 2), (9, long, 3), (9, long, 3), (None, "alone here now", 4), (None, "alone here now", 4), (9, "other words of nine", 5),
+            (11, None, 6), (12, "", 7)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, component int").repartition(3)).collect()
+    assert sorted(r.component for r in kept) == [2, 4, 5, 6]
 
 
 @pytest.mark.parametrize("number", range(5))
@@ -59,4 +65,4 @@ def test_stages_on_odd_rows(spark, odd, number):
         assert rows or docs.isEmpty()
         if name == "near_duplicates" and rows:
             ids = [r.doc_id for r in rows]
-            assert 1 in ids and 6 in ids and not {2, 3, 7} & set(ids)
+            assert 1 in ids and 6 in ids and ids.count(6) == 1 and not {2, 3, 7} & set(ids)

@@ -38,6 +38,9 @@ from shelfcast.llm.tokens import pieces, splits_at_blanks
 
 #: Code points in a row of the store, pieces a worker remembers, and pairs of tokens it remembers.
 BLOCK, PIECES, PAIRS = 1 << 16, 300_000, 1_000_000
+#: Bytes of the longest piece that is counted together with others, and what such pieces are made of: one kind of character.
+ARRAYS = 32
+PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 STORE = "doc_id long, text_key string, block int, start long, before long, n_bytes long, n_chars long, n_tokens long, steps binary"
 # Characters with the White_Space property.
 SPACES = frozenset("\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -79,6 +82,7 @@ class Vocabulary:
         self.rank = {tuple(pair if isinstance(pair, list) else pair.split(" ")): i for i, pair in enumerate(model["merges"])}
         self.longest = max(len(t) for t in self.tokens)
         self.pairs: dict[tuple[str, str], bool] = {}
+        self._arrays()
         self.sizes: dict[str, int] = {}  # of single characters and contractions
 
     def _letters(self, token: str) -> list[str]:
@@ -103,10 +107,97 @@ class Vocabulary:
         if known is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            letters = (self._letters(left) if left else []) + self._letters(right)
-            known = self.pairs[left, right] = self.merged(letters) == ([left, right] if left else [right])
+            known = self.pairs[left, right] = self._judge(left, right)
         return known
 
+    def _judge(self, left: str, right: str) -> bool:
+        letters = (self._letters(left) if left else []) + self._letters(right)
+        return self.merged(letters) == ([left, right] if left else [right])
+
+
+    def _arrays(self) -> None:
+        """Hashes of the tokens' bytes in order, and for each the token within a word and the one that ends it (-1 if none)."""
+        byte = {x: i for i, x in enumerate(byte_letters())}
+        by_bytes: dict[bytes, list[int]] = {}
+        self.names = [t for t in sorted(self.tokens) if t != self.end]
+        for i, token in enumerate(self.names):
+            ends = token.endswith(self.end)
+            letters = token[:-len(self.end)] if ends else token
+            if all(x in byte for x in letters):
+                by_bytes.setdefault(bytes(byte[x] for x in letters), [-1, -1])[ends] = i
+        data = np.frombuffer(b"".join(by_bytes), np.uint8)
+        end = np.cumsum(np.fromiter(map(len, by_bytes), np.int64))
+        begin = end - np.fromiter(map(len, by_bytes), np.int64)
+        hashes, which = spans_hash(rolling(data), begin, end), np.array(list(by_bytes.values()), np.int64)
+        order = np.argsort(hashes)
+        self.spans, self.token_of = hashes[order], which[order]
+        self.most_bytes = int((end - begin).max())
+        # Known pairs as numbers in order with their answers, and those found since.
+        self.pair, self.pair_fits, self.fresh = np.zeros(0, np.int64), np.zeros(0, bool), {}
+
+    def fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """:meth:`fits` for arrays of tokens, -1 for no left one."""
+        keys = (left + 1) * len(self.names) + right
+        at = np.minimum(np.searchsorted(self.pair, keys), max(0, len(self.pair) - 1))
+        known = self.pair[at] == keys if len(self.pair) else np.zeros(len(keys), bool)
+        out = np.zeros(len(keys), bool)
+        out[known] = self.pair_fits[at[known]]
+        for i in np.flatnonzero(~known):
+            key = int(keys[i])
+            if key not in self.fresh:
+                self.fresh[key] = self._judge(self.names[left[i]] if left[i] >= 0 else "", self.names[right[i]])
+            out[i] = self.fresh[key]
+        return out
+
+    def settle(self) -> None:
+        """Puts the pairs found since the last call to the others."""
+        if len(self.fresh) < 2048:
+            return
+        keys, fits = np.fromiter(self.fresh, np.int64), np.fromiter(self.fresh.values(), bool)
+        if len(self.pair) >= PAIRS:
+            self.pair, self.pair_fits = keys[:0], fits[:0]
+        keys, fits = np.concatenate([self.pair, keys]), np.concatenate([self.pair_fits, fits])
+        order = np.argsort(keys)
+        self.pair, self.pair_fits, self.fresh = keys[order], fits[order], {}
+
+    def runs(self, runs: list[bytes]) -> np.ndarray:
+        """Counts of all prefixes of many short runs at once, one after the other; the same table as :class:`Run`'s, by arrays."""
+        size = np.fromiter(map(len, runs), np.int64, len(runs))
+        order = np.argsort(-size, kind="stable")
+        start = (np.cumsum(size) - size)[order]
+        data = np.frombuffer(b"".join(runs), np.uint8)
+        hashes, size, most = rolling(data), size[order], int(size.max())
+        last, count = np.full((most + 1, len(runs)), -1, np.int64), np.zeros((most + 1, len(runs)), np.int32)
+        out = np.zeros(len(data), np.int32)
+        for n in range(1, most + 1):
+            live = int(np.searchsorted(-size, -n, "right"))
+            widths = np.arange(min(n, self.most_bytes), 0, -1)
+            end = start[:live, None] + n
+            wanted = spans_hash(hashes, end - widths, end)
+            at = np.minimum(np.searchsorted(self.spans, wanted), len(self.spans) - 1)
+            here = self.spans[at] == wanted
+            for ends in (0, 1):
+                token = self.token_of[at, ends]
+                usable, rows = here & (token >= 0), np.arange(live)
+                while len(rows):
+                    col = usable[rows].argmax(axis=1)
+                    if not usable[rows, col].all():
+                        raise ValueError("the vocabulary lacks a byte")
+                    before, found = n - widths[col], token[rows, col]
+                    good = self.fit(last[before, rows], found)
+                    done = rows[good]
+                    total = count[before[good], done] + 1
+                    if ends:
+                        out[start[done] + n - 1] = total
+                    else:
+                        last[n, done], count[n, done] = found[good], total
+                    usable[rows[~good], col[~good]] = False
+                    rows = rows[~good]
+        self.settle()
+        lead = np.flatnonzero(data == 0xC3)  # of a letter of two bytes; both show the count behind it
+        out[lead] = out[lead + 1]
+        return out
+
 
 class Run:
     """The table of one run of characters: last token and count of each prefix that does not end it."""
@@ -245,8 +336,17 @@ class Counter:
                 out.append(base)
         return out
 
+    def _all_bytes(self, found: list[bytes]) -> list[np.ndarray]:
+        """Counts of each piece, per byte."""
+        plain = [i for i, piece in enumerate(found) if len(piece) <= ARRAYS and PLAIN.fullmatch(piece) and b"<|" not in piece]
+        out: list = [None] * len(found)
+        if plain:
+            counts = self.vocabulary.runs([found[i].decode().lower().encode() for i in plain])
+            for i, own in zip(plain, np.split(counts, np.cumsum([len(found[i]) for i in plain])[:-1])):
+                out[i] = own
+        return [self._bytes_of(piece) if own is None else own for piece, own in zip(found, out)]
+
     def _bytes_of(self, piece: bytes) -> np.ndarray:
-        """Counts of a piece, per byte."""
         text = piece.decode("utf-8", "surrogatepass")
         counts = np.array(self.word(text), np.int32)
         return counts if len(text) == len(piece) else np.repeat(counts, [len(x.encode("utf-8", "surrogatepass")) for x in text])
@@ -260,7 +360,7 @@ class Counter:
         distinct, first, which = np.unique(spans_hash(rolling(data), begin, end), return_index=True, return_inverse=True)
         at = np.minimum(np.searchsorted(self.hash, distinct), max(0, len(self.hash) - 1))
         known = self.hash[at] == distinct if len(self.hash) else np.zeros(len(distinct), bool)
-        got = [self._bytes_of(raw[begin[i]:end[i]]) for i in first[~known]]
+        got = self._all_bytes([raw[begin[i]:end[i]] for i in first[~known]])
         more = np.fromiter(map(len, got), np.int64, len(got))
         start, length = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
         start[known], length[known] = self.start[at[known]], self.length[at[known]]
@@ -285,7 +385,7 @@ class Counter:
 
     def prefixes(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Per text, the counts at the end of each code point."""
-        for a, b in chunks(texts, 1 << 18):
+        for a, b in chunks(texts, 1 << 19):
             counts, at = self._some(texts[a:b]), 0
             for text in texts[a:b]:
                 heads = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80

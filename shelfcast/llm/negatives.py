@@ -5,7 +5,7 @@ a node that holds too many to the nearest of a few of its vectors, found farthes
 its members reach.  Distances are taken after one more coordinate has given all vectors of a node the same norm, so
 that distance falls as the inner product grows and a node's covering radius bounds its members' inner products from
 both sides.  The levels above are tables that anchors descend by joins, leaving out nodes outside their windows; a leaf holds at most
-``LEAF`` classes and goes on as a tree in memory, descended best first with its rows verified by exact integer products.
+``LEAF`` classes and goes on as a tree in memory, descended best first by a block of anchors, each only where it must, with rows verified by exact integer products.
 An anchor visits its most promising leaf first; what it finds there leaves most of the others out.
 
 Labels are few: an anchor starts at the root of every other label.  Anchors with one label and vector search once.  Of equal vectors with one label only the least ids are kept, as many as can be
@@ -19,8 +19,6 @@ the smaller vec_id; windows are empty for negative positives; an empty table giv
 
 from __future__ import annotations
 
-from heapq import heappop, heappush
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +29,7 @@ from shelfcast.llm.common import table
 from shelfcast.sources.staging import stage
 
 #: Classes in a leaf, children of a node, rows of the sample that shapes a node, levels split by distance, and anchors a leaf meets at once.
-LEAF, FANOUT, SAMPLE, LEVELS, QUERIES = 2048, 24, 1024, 8, 1024
+LEAF, FANOUT, SAMPLE, LEVELS, QUERIES = 8192, 24, 1024, 8, 1024
 #: Rows of an in-memory node that are verified together.
 FEW = 32
 #: Ends of a window without ends.
@@ -119,50 +117,81 @@ class CoverTree:
             self.below[node] = (False, np.array([self.grow(members[nearest == i]) for i in range(len(chosen))]))
         return node
 
-    def search(self, q: np.ndarray, windows: list[tuple], give) -> int:
-        """Best-first descent; ``give(rows, scores)`` takes verified rows and updates ``windows`` (low, high); returns how many were verified."""
-        q2, qx, verified = float((q.astype(float) ** 2).sum()), q.astype(float), 0
-        heap = [(-np.inf, np.inf, 0)]
+    def search(self, queries: np.ndarray, best: Best) -> np.ndarray:
+        """Descends for a block of queries; ``best`` takes verified rows and closes its windows.  Returns how many rows each query met.
 
-        def inside(low, high):
-            return any(high >= w[0] and low <= w[1] for w in windows)
+        A node's children follow by the highest bound that any query of the block still has for them; a query goes along
+        only where a child may hold rows of one of its windows as they stand then.
+        """
+        x = queries.astype(float)
+        square, met = (x * x).sum(axis=1), np.zeros(len(queries), np.int64)
 
-        while heap:
-            high, low, node = heappop(heap)
-            if not inside(-np.inf if low == np.inf else low, -high):
-                continue
+        def down(node: int, who: np.ndarray) -> None:
             few, below = self.below[node]
             if few:
-                give(below, products(q[None], self.points[below])[0])
-                verified += len(below)
-                continue
+                met[who] += len(below)
+                best.take(who, below, products(queries[who], self.points[below]))
+                return
             at = [self.centre[i] for i in below]
-            lows, highs = bounds(self.x[at] @ qx, q2, self.square[at], *(np.array([kept[i] for i in below]) for kept in (self.least, self.most, self.reach)))
-            for i, low, high in zip(below, lows, highs):
-                if inside(low, high):
-                    heappush(heap, (-high, low, int(i)))
-        return verified
+            least, most, reach = (np.array([kept[i] for i in below]) for kept in (self.least, self.most, self.reach))
+            low, high = bounds(x[who] @ self.x[at].T, square[who, None], self.square[at], least, most, reach)
+            for i in np.argsort(-high.max(axis=0), kind="stable"):
+                along = best.open(who, low[:, i], high[:, i])
+                if along.any():
+                    down(int(below[i]), who[along])
+
+        if len(queries):
+            down(0, np.arange(len(queries)))
+        return met
 
 
 class Best:
-    """The first ``k`` (score, id) of each window found so far; windows close from below as they fill."""
-
-    def __init__(self, lows, highs, floors, k: int):
-        self.k, self.found = k, [[] for _ in lows]
-        # What an earlier visit found is a floor: lower scores are not among the first k.
-        self.windows = [(max(low, floor), high) for low, high, floor in zip(lows, highs, floors)]
-
-    def take(self, ids, scores) -> None:
-        """``ids`` holds, per row, the ids of its class."""
-        for w, (low, high) in enumerate(self.windows):
-            hits = np.flatnonzero((scores >= low) & (scores <= high))
-            if not len(hits):
+    """The first ``k`` (score, id) of each window of each query found so far; windows close from below as they fill.
+
+    ``ids`` holds, per row of the leaf, the ids of its class.  ``floors`` are scores that an earlier visit found k rows at.
+    """
+
+    def __init__(self, lows, highs, floors, ids: list, k: int):
+        wide = max(map(len, lows), default=0)
+
+        def filled(parts, empty: int) -> np.ndarray:
+            return np.array([[*part, *[empty] * (wide - len(part))] for part in parts], np.int64).reshape(-1, wide)
+
+        # Windows that a query lacks are empty: their low is above their high.
+        self.low, self.high = np.maximum(filled(lows, MOST), filled(floors, MOST)), filled(highs, LEAST)
+        self.k, self.wide = k, wide
+        self.count = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.first, self.flat = np.cumsum(self.count) - self.count, np.concatenate([np.asarray(i, np.int64) for i in ids])
+        # Key (query and window), score and id of what is kept.
+        self.key, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
+
+    def open(self, who: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which queries may find a row of a window between the bounds."""
+        return ((high[:, None] >= self.low[who]) & (low[:, None] <= self.high[who])).any(axis=1)
+
+    def take(self, who: np.ndarray, rows: np.ndarray, scores: np.ndarray) -> None:
+        key, score, found = [self.key], [self.score], [self.id]
+        for w in range(self.wide):
+            q, c = np.nonzero((scores >= self.low[who, w][:, None]) & (scores <= self.high[who, w][:, None]))
+            if not len(q):
                 continue
-            own = self.found[w] + [(-int(scores[h]), i) for h in hits for i in ids[h]]
-            own.sort()
-            self.found[w] = own[:self.k]
-            if len(own) >= self.k:
-                self.windows[w] = (max(low, -own[self.k - 1][0]), high)
+            n = self.count[rows[c]]  # a class of equal vectors gives all its ids
+            each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            key.append(np.repeat(who[q] * self.wide + w, n))
+            score.append(np.repeat(scores[q, c], n))
+            found.append(self.flat[np.repeat(self.first[rows[c]], n) + each])
+        if len(key) == 1:
+            return
+        key, score, found = map(np.concatenate, (key, score, found))
+        order = np.lexsort((found, -score, key))
+        key = key[order]
+        place = np.arange(len(key)) - np.searchsorted(key, key)
+        kept = order[place < self.k]
+        last = order[place == self.k - 1]
+        self.key, self.score, self.id = key[place < self.k], score[kept], found[kept]
+        at = key[place == self.k - 1]
+        flat = self.low.reshape(-1)
+        flat[at] = np.maximum(flat[at], score[last])
 
 
 def classes(rows: DataFrame, keep: int) -> DataFrame:
@@ -289,16 +318,14 @@ def descend(asked: DataFrame, nodes: DataFrame, same_label: bool) -> DataFrame:
 def visit(pairs: DataFrame, asked: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """(rep, window, score, vec_id): the first k of each window in the leaves of ``pairs`` (rep, leaf, floors); ``verified`` rows ride as window -1."""
     def run(key, leaf: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = pd.DataFrame({c: np.zeros(0, np.int64) for c in ("rep", "window", "score", "vec_id")})
         if len(leaf) and len(queries):
-            leaf = leaf.sort_values("rep")
-            tree, ids, reps = CoverTree(_matrix(leaf["v"])), leaf["ids"].tolist(), leaf["rep"].to_numpy()
-            for q in queries.itertuples():
-                best = Best(q.lows.tolist(), q.highs.tolist(), q.floors.tolist(), k)
-                seen = tree.search(np.asarray(q.v, np.int64), best.windows, lambda at, scores, best=best: best.take([ids[i] for i in at], scores))
-                out += [(q.rep, w, -s, i) for w, found in enumerate(best.found) for s, i in found]
-                out.append((q.rep, -1, seen, len(reps)))
-        return pd.DataFrame(out, columns=["rep", "window", "score", "vec_id"]).astype({"rep": "int64", "window": "int32", "score": "int64", "vec_id": "int64"})
+            leaf, rep = leaf.sort_values("rep"), queries["rep"].to_numpy()
+            best = Best(*(queries[c].tolist() for c in ("lows", "highs", "floors")), leaf["ids"].tolist(), k)
+            met = CoverTree(_matrix(leaf["v"])).search(_matrix(queries["v"]), best)
+            out = pd.DataFrame({"rep": np.concatenate([rep[best.key // best.wide], rep]), "window": np.concatenate([best.key % best.wide, np.full(len(rep), -1)]),
+                                "score": np.concatenate([best.score, met]), "vec_id": np.concatenate([best.id, np.full(len(rep), len(leaf))])})
+        return out.astype({"window": "int32"})
 
     told = pairs.join(asked.select("rep", "v", "lows", "highs"), "rep")
     load = stage(pairs.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERIES)).cast("int").alias("turns")), "load")

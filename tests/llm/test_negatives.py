@@ -56,16 +56,18 @@ def test_deep_trees(spark, monkeypatch):
 
 
 def test_a_tree_skips_rows():
+    """Two windows of one query and one of another; far fewer rows are met than there are."""
     rng = np.random.default_rng(2)
     points = np.floor(256 * (rng.normal(size=(40, 1, 8)) * 20 + rng.normal(size=(40, 50, 8)))).astype(np.int64).reshape(-1, 8)
-    tree, want = negatives.CoverTree(points), (points @ points[7])
-    best = negatives.Best([negatives.LEAST], [negatives.MOST], [negatives.LEAST], 4)
-    seen = tree.search(points[7], best.windows, lambda at, scores: best.take([[int(i)] for i in at], scores))
-    assert best.found[0] == sorted((-int(s), i) for i, s in enumerate(want))[:4] and seen < 400
-    low, high = int(np.percentile(want, 40)), int(np.percentile(want, 45))
-    best = negatives.Best([low], [high], [negatives.LEAST], 3)
-    seen = tree.search(points[7], best.windows, lambda at, scores: best.take([[int(i)] for i in at], scores))
-    assert best.found[0] == sorted((-int(s), i) for i, s in enumerate(want) if low <= s <= high)[:3] and seen < 2000
+    queries, none = points[[7, 90]], negatives.LEAST
+    want = queries @ points.T
+    low, high = int(np.percentile(want[0], 40)), int(np.percentile(want[0], 45))
+    best = negatives.Best([[none, low], [none]], [[negatives.MOST, high], [negatives.MOST]], [[none, none], [none]], [[i] for i in range(2000)], 4)
+    met = negatives.CoverTree(points).search(queries, best)
+    for q, w, inside in ((0, 0, want[0] == want[0]), (0, 1, (want[0] >= low) & (want[0] <= high)), (1, 0, want[1] == want[1])):
+        own = best.key == q * 2 + w
+        assert list(zip(-best.score[own], best.id[own])) == sorted((-int(s), i) for i, s in enumerate(want[q]) if inside[i])[:4]
+    assert met[1] < 400 and met[0] < 1200
 
 
 @pytest.mark.parametrize("scale", [1.0, 1e6])

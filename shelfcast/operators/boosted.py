@@ -4,89 +4,67 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel,
-                                   GBTRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.operators.boosting import Forest, boost, permutation_importance
 from shelfcast.operators.features import CATEGORY_COLS, MODEL_COLS
 from shelfcast.operators.reshape import scan_features, time_split
 from shelfcast.sources.staging import stage
+from shelfcast.sources.store import TableStore
 
-# Sampling shares, quantiles and smallest leaf.
-ROW_SHARE, COLUMN_SHARE = 0.8, "0.8"
+# Quantiles, most rounds, patience, leaves of a tree and smallest leaf.
 QUANTILES = (0.1, 0.5, 0.9)
-LEAF_ROWS = 20
-# A round is several jobs here, so it takes sixteen steps of the usual 0.05 at once.  Most rounds and
-# patience are given in usual rounds (1000 and 50) and come down by the same factor.
-STEP, USUAL_STEP = 0.8, 0.05
 ROUNDS, PATIENCE = 1000, 50
-# A validation error counts as lower when it is lower by this share.
-LEAST_GAIN = 0.002
-# Trees as deep as the leaves wanted (127) ask for.
-DEPTH = 7
-# A leaf table has at most two to this power rows, which bounds its broadcast.
-MAX_DEPTH = 12
+LEAVES, LEAF_ROWS = 127, 20
 CODE_ROWS = 20.0
 
 
 @dataclass
 class Codes:
-    """Mean sales per value of each category column, the overall mean for new values, and levels of series.
+    """Mean sales per value of each category column, and the overall mean for new values.
 
-    ``table`` has rows (category, value, code), ``levels`` rows (id, level, size): mean sales of
-    the series' training days, and of those with a sale.
+    ``table`` has rows (category, value, code).
     """
 
     table: DataFrame
     prior: float
-    levels: DataFrame
 
-    def save(self, path: str) -> None:
-        self.table.write.mode("overwrite").parquet(f"{path}/table")
-        self.levels.write.mode("overwrite").parquet(f"{path}/levels")
-        prior = self.table.sparkSession.createDataFrame([(self.prior,)], "prior double")
-        prior.write.mode("overwrite").parquet(f"{path}/prior")
+    def save(self, store: TableStore) -> None:
+        store.replace("codes", self.table.withColumn("prior", F.lit(self.prior)).unionByName(self.table.sparkSession.createDataFrame(
+            [(None, None, None, self.prior)], "category string, value string, code double, prior double")))
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> Codes:
-        return Codes(spark.read.parquet(f"{path}/table"), spark.read.parquet(f"{path}/prior").first()[0],
-                     spark.read.parquet(f"{path}/levels"))
+    def load(store: TableStore) -> Codes:
+        rows = store.read("codes")
+        return Codes(rows.where("category IS NOT NULL").drop("prior"), rows.where("category IS NULL").first()["prior"])
 
 
 def fit_codes(train: DataFrame) -> Codes:
     """Category codes from training rows: one pass to a row per series, then sums over those."""
     per_series = stage(train.groupBy("id", *CATEGORY_COLS).agg(
-        F.sum(F.col("sales").cast("double")).alias("total"), F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(F.col("sales") > 0, True)).alias("sold")), "series_totals")
+        F.sum(F.col("sales").cast("double")).alias("total"), F.count(F.lit(1)).alias("rows")), "series_totals")
     prior = float(per_series.agg(F.sum("total") / F.nullif(F.sum("rows"), F.lit(0))).first()[0] or 0.0)
     mean = (F.sum("total") + prior * CODE_ROWS) / (F.sum("rows") + CODE_ROWS)
     codes = (per_series.unpivot(["total", "rows"], CATEGORY_COLS, "category", "value")
              .groupBy("category", "value").agg(mean.alias("code")))
-    levels = per_series.groupBy("id").agg((F.sum("total") / F.sum("rows")).alias("level"),
-                                          (F.sum("total") / F.nullif(F.sum("sold"), F.lit(0))).alias("size"))
-    return Codes(stage(codes, "codes"), prior, stage(levels, "levels"))
+    return Codes(stage(codes, "codes"), prior)
 
 
 def with_codes(rows: DataFrame, codes: Codes) -> DataFrame:
-    """Adds the codes and levels.  Values are looked up per series, so a common item is no hot key."""
+    """Adds the codes.  Values are looked up per series, so a common item is no hot key."""
     series = rows.select("id", *CATEGORY_COLS).distinct()
     for name in CATEGORY_COLS:
         known = codes.table.filter(F.col("category") == name).select(F.col("value").alias(name), F.col("code").alias(f"{name}_code"))
         series = series.join(known, name, "left")
-    # A level under a hundredth of the mean would make every sale of its series an outlier.
-    least = F.lit(max(codes.prior / 100, 1e-3))
-    level = [F.greatest(F.coalesce(c, F.lit(codes.prior)), least).alias(c) for c in ("level", "size")]
-    coded = series.join(codes.levels, "id", "left").select(
-        "id", *[F.coalesce(f"{c}_code", F.lit(codes.prior)).alias(f"{c}_code") for c in CATEGORY_COLS], *level)
+    coded = series.select("id", *[F.coalesce(f"{c}_code", F.lit(codes.prior)).alias(f"{c}_code") for c in CATEGORY_COLS])
     return rows.join(coded, "id")
 
 
 def model_matrix(features: DataFrame, codes: Codes | None = None, ids: DataFrame | None = None,
                  val_days: int | None = None) -> tuple[DataFrame, Codes, list[str]]:
-    """Rows (id, date, sales, level, size, is_val, features), the codes used, and the feature names.
+    """Rows (id, date, sales, is_val, features), the codes used, and the feature names.
 
     Without ``codes`` they are fitted on the rows before validation.
     """
@@ -99,113 +77,34 @@ def model_matrix(features: DataFrame, codes: Codes | None = None, ids: DataFrame
     names = [f"{c}_code" for c in CATEGORY_COLS] + numbers
     flat = with_codes(rows, codes).withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numbers})
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(flat)
-    kept = ["id", "date", F.col("sales").cast("double").alias("sales"), "level", "size", "features"]
+    kept = ["id", "date", F.col("sales").cast("double").alias("sales"), "features"]
     return vectors.select(*kept, *(["is_val"] if val_days is not None else [])), codes, names
 
 
 @dataclass
 class Boosted:
-    """Point forecast, and optionally a tree whose leaves carry sales quantiles."""
+    """Trees of the point forecast, and of each quantile of the band if it has one."""
 
-    point: GBTRegressionModel
+    forest: Forest
     codes: Codes
-    names: list[str]
-    band_tree: DecisionTreeRegressionModel | None = None
-    band: DataFrame | None = None
 
     def save(self, path: str) -> None:
-        self.point.write().overwrite().save(f"{path}/point")
-        self.codes.save(f"{path}/codes")
-        spark = self.codes.table.sparkSession
-        spark.createDataFrame(list(enumerate(self.names)), "at int, name string").write.mode("overwrite").parquet(f"{path}/names")
-        if self.band_tree is not None:
-            self.band_tree.write().overwrite().save(f"{path}/band_tree")
-            self.band.write.mode("overwrite").parquet(f"{path}/band")
+        store = TableStore(self.codes.table.sparkSession, path)
+        self.codes.save(store)
+        self.forest.save(store, "forest")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, with_band: bool = True) -> Boosted:
-        names = [r["name"] for r in spark.read.parquet(f"{path}/names").orderBy("at").collect()]
-        loaded = Boosted(GBTRegressionModel.load(f"{path}/point"), Codes.load(spark, f"{path}/codes"), names)
-        if with_band:
-            loaded.band_tree = DecisionTreeRegressionModel.load(f"{path}/band_tree")
-            if loaded.band_tree.depth > MAX_DEPTH:
-                raise ValueError(f"a tree deeper than {MAX_DEPTH} has too many leaves to broadcast")
-            loaded.band = spark.read.parquet(f"{path}/band")
-        return loaded
-
-
-def truncated(model, rounds: int):
-    """The model of the first ``rounds`` trees."""
-    spark, java = SparkSession.active(), model._java_obj
-    jvm, gateway = spark._jvm, spark.sparkContext._gateway
-    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = gateway.new_array(jvm.double, rounds)
-    for i in range(rounds):
-        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
-    if isinstance(model, GBTRegressionModel):
-        return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures()))
-    return GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), 2))
-
-
-def patient(learner, matrix: DataFrame, most: int, patience: int, errors):
-    """Fits until the validation error has not fallen for ``patience`` rounds, and keeps the best round.
-
-    Rounds are deterministic, so a fit of more rounds starts with the same trees; the number is
-    doubled until the best one lies far enough from the end.
-    """
-    most, patience = (max(1, round(n * USUAL_STEP / STEP)) for n in (most, patience))
-    train, val = matrix, None
-    if "is_val" in matrix.columns:
-        train, val = matrix.filter(~F.col("is_val")), matrix.filter("is_val")
-    if val is None or val.isEmpty():
-        return learner.setMaxIter(min(most, patience)).fit(train)
-    rounds = min(most, 2 * patience)
-    while True:
-        model = learner.setMaxIter(rounds).fit(train)
-        best, least = 1, float("inf")
-        for n, error in enumerate(errors(model, val), 1):
-            if error < least * (1 - LEAST_GAIN):
-                best, least = n, error
-        if rounds - best >= patience or rounds >= most:
-            return truncated(model, best)
-        rounds = min(most, 2 * rounds)
-
-
-def boost(matrix: DataFrame, level: str = "level", rounds: int = ROUNDS, patience: int = PATIENCE, depth: int = DEPTH,
-          leaf_rows: int = LEAF_ROWS, seed: int = 42) -> GBTRegressionModel:
-    """Absolute-error boosting of sales as a multiple of the series' level, weighted by it.
-
-    The learner's steps on absolute error are as long as the learning rate whatever the label's
-    scale; on multiples a step is that share of a level, and the weights make the loss one of units.
-    """
-    shares = matrix.withColumn("share", F.col("sales") / F.col(level)).withColumn("units", F.col(level))
-    learner = GBTRegressor(labelCol="share", weightCol="units", lossType="absolute", stepSize=STEP, subsamplingRate=ROW_SHARE,
-                           featureSubsetStrategy=COLUMN_SHARE, maxDepth=depth, minInstancesPerNode=leaf_rows, seed=seed,
-                           maxMemoryInMB=512)
-    return patient(learner, shares, rounds, patience, lambda model, val: model.evaluateEachIteration(val, "absolute"))
+    def load(spark: SparkSession, path: str) -> Boosted:
+        store = TableStore(spark, path)
+        return Boosted(Forest.load(store, "forest"), Codes.load(store))
 
 
-def fit_boosted(features: DataFrame, ids: DataFrame | None = None, val_days: int = 28, rounds: int = ROUNDS,
-                depth: int = DEPTH, seed: int = 42, quantiles: tuple[float, ...] | None = QUANTILES) -> Boosted:
+def fit_boosted(features: DataFrame, ids: DataFrame | None = None, val_days: int = 28, rounds: int = ROUNDS, patience: int = PATIENCE,
+                leaves: int = LEAVES, seed: int = 42, quantiles: tuple[float, ...] | None = QUANTILES, path: str | None = None) -> Boosted:
+    """Absolute error for the point and a pinball loss per quantile, each kept up to its best round; ``path`` as in :func:`boost`."""
     matrix, codes, names = model_matrix(features, None, ids, val_days)
-    matrix = stage(matrix, "matrix")
-    fitted = Boosted(boost(matrix, rounds=rounds, depth=depth, seed=seed), codes, names)
-    if quantiles:
-        fitted.band_tree, fitted.band = fit_band(matrix.filter(~F.col("is_val")), quantiles, depth, seed)
-    return fitted
-
-
-def fit_band(train: DataFrame, quantiles=QUANTILES, depth: int = DEPTH, seed: int = 42):
-    """A tree and the sales quantiles of the training rows in each of its leaves.
-
-    One tree carries all quantiles, so they cannot cross.  Rows are counted per (leaf,
-    sales) first: a leaf that holds most rows reaches one task as distinct values only.
-    """
-    if depth > MAX_DEPTH:
-        raise ValueError(f"depth above {MAX_DEPTH} would outgrow the leaf table")
-    tree = DecisionTreeRegressor(labelCol="sales", maxDepth=depth, minInstancesPerNode=LEAF_ROWS, seed=seed,
-                                 leafCol="leaf", maxMemoryInMB=512).fit(train)
-    return tree, stage(leaf_quantiles(tree.transform(train).select("leaf", "sales"), ["leaf"], quantiles), "band")
+    forest = boost(stage(matrix, "matrix"), names, "sales", [0.5, *(quantiles or ())], rounds, patience, leaves, LEAF_ROWS, seed, path)
+    return Boosted(forest.best(), codes)
 
 
 def leaf_quantiles(rows: DataFrame, keys: list[str], quantiles=QUANTILES, value: str = "sales") -> DataFrame:
@@ -217,23 +116,21 @@ def leaf_quantiles(rows: DataFrame, keys: list[str], quantiles=QUANTILES, value:
 
 
 def predict_boosted(model: Boosted, features: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    """(id, date, lgbm_point, lgbm_q..) for every row with the longest lag; not below 0, 3 places."""
+    """(id, date, lgbm_point, lgbm_q..) for every row with the longest lag; not below 0, 3 places, quantiles in order."""
     matrix, _, _ = model_matrix(features, model.codes, ids)
+    found = model.forest.predict(matrix, ["id", "date"])
+    quantiles = sorted(q for q in model.forest.losses[1:])
+    levels = F.array_sort(F.slice("margins", 2, len(quantiles))) if quantiles else None
 
     def clean(c):
-        return F.round(F.greatest(F.col(c), F.lit(0.0)), 3)
-
-    scored = model.point.setPredictionCol("raw").transform(matrix).withColumn("raw", F.col("raw") * F.col("level"))
-    levels = []
-    if model.band_tree is not None:
-        levels = [c for c in model.band.columns if c != "leaf"]
-        scored = model.band_tree.setPredictionCol("leaf_mean").setLeafCol("leaf").transform(scored)
-        scored = scored.join(F.broadcast(model.band), "leaf", "left")
-    return scored.select("id", "date", clean("raw").alias("lgbm_point"), *[clean(c).alias(f"lgbm_{c}") for c in levels])
-
-
-def feature_importance(spark: SparkSession, model: Boosted, n: int = 20) -> DataFrame:
-    """The ``n`` most important of the model's few dozen features."""
-    weights = model.point.featureImportances.toArray().tolist()
-    rows = spark.createDataFrame(list(zip(model.names, weights)), "feature string, importance double")
-    return rows.orderBy(F.col("importance").desc(), "feature").limit(n)
+        return F.round(F.greatest(c, F.lit(0.0)), 3)
+
+    return found.select("id", "date", clean(F.col("margins")[0]).alias("lgbm_point"),
+                        *[clean(levels[i]).alias(f"lgbm_q{round(q * 100)}") for i, q in enumerate(quantiles)])
+
+
+def feature_importance(model: Boosted, features: DataFrame, n: int = 20, ids: DataFrame | None = None, val_days: int = 28) -> DataFrame:
+    """The ``n`` features of the model whose permutation raises the point's validation error most."""
+    matrix, _, _ = model_matrix(features, model.codes, ids, val_days)
+    rows = matrix.where("is_val").withColumnRenamed("sales", "y")
+    return permutation_importance(features.sparkSession, model.forest, rows).orderBy(F.col("importance").desc(), "feature").limit(n)

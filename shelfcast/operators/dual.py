@@ -4,68 +4,56 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.operators.boosted import COLUMN_SHARE, ROW_SHARE, STEP, Codes, boost, model_matrix, patient
+from shelfcast.operators.boosted import Codes, model_matrix
+from shelfcast.operators.boosting import Forest, boost
 from shelfcast.operators.reshape import last_n_per_series
 from shelfcast.operators.scoring import auc, last_days
 from shelfcast.sources.staging import stage
+from shelfcast.sources.store import TableStore
 
-
-# Most rounds, patience, and the smallest leaves of the chance and the size model.
-ROUNDS, PATIENCE, CHANCE_LEAF_ROWS, SIZE_LEAF_ROWS = 500, 30, 10, 5
-# Trees as deep as the leaves wanted (63) ask for.
-DEPTH = 6
+# Most rounds, patience, leaves, and the smallest leaves of the chance and the size model.
+ROUNDS, PATIENCE, LEAVES, CHANCE_LEAF_ROWS, SIZE_LEAF_ROWS = 500, 30, 63, 10, 5
 
 
 @dataclass
 class Dual:
     """``occurrence`` is None when every training row had the same outcome, ``always``."""
 
-    occurrence: GBTClassificationModel | None
-    magnitude: GBTRegressionModel | None
+    occurrence: Forest | None
+    magnitude: Forest | None
     codes: Codes
     always: float = 0.0
 
     def save(self, path: str) -> None:
-        self.codes.save(f"{path}/codes")
         spark = self.codes.table.sparkSession
-        parts = [(self.occurrence is not None, self.magnitude is not None, self.always)]
-        spark.createDataFrame(parts, "occurrence boolean, magnitude boolean, always double").write.mode(
-            "overwrite").parquet(f"{path}/parts")
-        if self.occurrence is not None:
-            self.occurrence.write().overwrite().save(f"{path}/occurrence")
-        if self.magnitude is not None:
-            self.magnitude.write().overwrite().save(f"{path}/magnitude")
+        store = TableStore(spark, path)
+        self.codes.save(store)
+        parts = [(f.dump() if f is not None else None) for f in (self.occurrence, self.magnitude)]
+        store.replace("parts", spark.createDataFrame([(*parts, self.always)], "occurrence string, magnitude string, always double"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Dual:
-        parts = spark.read.parquet(f"{path}/parts").first()
-        return Dual(GBTClassificationModel.load(f"{path}/occurrence") if parts["occurrence"] else None,
-                    GBTRegressionModel.load(f"{path}/magnitude") if parts["magnitude"] else None,
-                    Codes.load(spark, f"{path}/codes"), parts["always"])
+        store = TableStore(spark, path)
+        parts = store.read("parts").first()
+        return Dual(*[Forest.parse(parts[c]) if parts[c] else None for c in ("occurrence", "magnitude")], Codes.load(store), parts["always"])
 
 
-def fit_dual(features: DataFrame, ids: DataFrame | None = None, val_days: int = 28, rounds: int = ROUNDS,
-             depth: int = DEPTH, seed: int = 42) -> Dual:
+def fit_dual(features: DataFrame, ids: DataFrame | None = None, val_days: int = 28, rounds: int = ROUNDS, patience: int = PATIENCE,
+             leaves: int = LEAVES, seed: int = 42) -> Dual:
     """The size model learns from rows with a sale only."""
-    matrix, codes, _ = model_matrix(features, None, ids, val_days)
+    matrix, codes, names = model_matrix(features, None, ids, val_days)
     matrix = stage(matrix.withColumn("sold", (F.col("sales") > 0).cast("double")), "dual_matrix")
     outcomes = {r["sold"] for r in matrix.filter(~F.col("is_val")).select("sold").distinct().collect()}
     if not outcomes:
         return Dual(None, None, codes)
     occurrence = magnitude = None
     if len(outcomes) == 2:
-        learner = GBTClassifier(labelCol="sold", stepSize=STEP, subsamplingRate=ROW_SHARE,
-                                featureSubsetStrategy=COLUMN_SHARE, maxDepth=depth,
-                                minInstancesPerNode=CHANCE_LEAF_ROWS, seed=seed, maxMemoryInMB=512)
-        occurrence = patient(learner, matrix, rounds, PATIENCE, lambda model, val: model.evaluateEachIteration(val))
+        occurrence = boost(matrix, names, "sold", [None], rounds, patience, leaves, CHANCE_LEAF_ROWS, seed).best()
     if 1.0 in outcomes:
-        magnitude = boost(matrix.filter("sold = 1").drop("sold"), "size", rounds, PATIENCE, depth, SIZE_LEAF_ROWS, seed)
+        magnitude = boost(matrix.filter("sold = 1"), names, "sales", [0.5], rounds, patience, leaves, SIZE_LEAF_ROWS, seed).best()
     return Dual(occurrence, magnitude, codes, max(outcomes))
 
 
@@ -81,10 +69,11 @@ def predict_dual(model: Dual, features: DataFrame, ids: DataFrame | None = None)
     rows, _, _ = model_matrix(features, model.codes, ids)
     chance, size = F.lit(model.always), F.lit(0.0)
     if model.occurrence is not None:
-        rows = model.occurrence.setPredictionCol("_class").setRawPredictionCol("_margin").setProbabilityCol("_chance").transform(rows)
-        chance = vector_to_array("_chance")[1]
+        rows = model.occurrence.predict(rows, ["id", "date", "features"]).withColumnRenamed("margins", "_chance")
+        chance = 1 / (1 + F.exp(-F.col("_chance")[0]))
     if model.magnitude is not None:
-        rows, size = model.magnitude.setPredictionCol("_size").transform(rows), F.col("_size") * F.col("size")
+        rows = model.magnitude.predict(rows, [c for c in rows.columns if c in ("id", "date", "_chance")]).withColumnRenamed("margins", "_size")
+        size = F.col("_size")[0]
     return product(rows, chance, size)
 
 

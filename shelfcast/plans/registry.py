@@ -613,17 +613,15 @@ def _(t):
 
 @query("quantile_band")
 def _(t):
-    matrix, _codes, _names = boosted.model_matrix(t.staged_features, val_days=28)
-    matrix = stage(matrix, "matrix")
-    tree, band = boosted.fit_band(matrix.filter(~F.col("is_val")))
-    scored = tree.transform(matrix).join(F.broadcast(band), "leaf", "left")
-    return scored.select("id", "date", *[F.round(F.greatest(q, F.lit(0.0)), 3).alias(f"lgbm_{q}") for q in ("q10", "q50", "q90")])
+    """Three quantiles, each from its own loss."""
+    model = boosted.fit_boosted(t.staged_features)
+    return boosted.predict_boosted(model, t.staged_features).drop("lgbm_point")
 
 
 @query("feature_importance")
 def _(t):
     model = boosted.fit_boosted(t.staged_features, quantiles=None)
-    return boosted.feature_importance(t.spark, model, 20)
+    return boosted.feature_importance(model, t.staged_features, 20)
 
 
 @query("dual_forecast")
@@ -700,16 +698,17 @@ def _(t):
     middle = held.agg(F.percentile("sales", 0.5)).scalar()
     miss = [F.avg(F.abs(F.col("sales") - c)) for c in (F.col("lgbm_point"), F.col("sales_lag_7"), F.col("middle"))]
     flags = held.withColumn("middle", middle).agg((miss[0] < miss[1]).alias("beats_last_week"), (miss[0] < miss[2]).alias("beats_constant")).first()
-    return _contract(preds, "lgbm_point").withColumns({"several_trees": F.lit(model.point.getNumTrees > 1), **{k: F.lit(v) for k, v in flags.asDict().items()}})
+    return _contract(preds, "lgbm_point").withColumns({"several_trees": F.lit(len(model.forest.trees[0]) > 1), **{k: F.lit(v) for k, v in flags.asDict().items()}})
 
 
-@query("quantile_band_contract", _promise("usable"))
+@query("quantile_band_contract", _promise("usable").replace("FROM", ", true AS covers FROM", 1))
 def _(t):
-    matrix, _codes, _names = boosted.model_matrix(t.staged_features, val_days=28)
-    matrix = stage(matrix, "matrix")
-    tree, band = boosted.fit_band(matrix.filter(~F.col("is_val")))
-    scored = tree.transform(matrix).join(F.broadcast(band), "leaf", "left")
-    return _contract(scored, "q50", "q10", "q50", "q90")
+    """Also: on the validation days the band from the first to the ninth decile covers 80 % of the rows, give or take what ties of whole numbers add."""
+    model = boosted.fit_boosted(t.staged_features)
+    preds = stage(boosted.predict_boosted(model, t.staged_features), "band")
+    held = scoring.last_days(t.staged_features.select("id", "date", "sales"), 28).join(preds, ["id", "date"])
+    below = held.agg(F.avg((F.col("sales") < F.floor("lgbm_q10")).cast("double")), F.avg((F.col("sales") > F.ceil("lgbm_q90")).cast("double"))).first()
+    return _contract(preds, "lgbm_q50", "lgbm_q10", "lgbm_q50", "lgbm_q90").withColumn("covers", F.lit(max(below) < 0.13))
 
 
 @query("sequence_contract", _promise("(SELECT id, date FROM usable QUALIFY row_number() OVER (PARTITION BY id ORDER BY date) > 28)"))
@@ -724,7 +723,7 @@ def _(t):
 
 
 @query("seasonal_arima_ahead_contract", _promise("""
-    (SELECT DISTINCT id, CAST(hi + k AS DATE) AS date FROM panel, bounds, (SELECT unnest(range(1, 29)) AS k))"""))
+    (SELECT DISTINCT id, hi + CAST(k AS INTEGER) AS date FROM panel, bounds, (SELECT unnest(range(1, 29)) AS k))"""))
 def _(t):
     return _contract(seasonal_arima.seasonal_arima_forecast(t.panel), "sarima_point", "sarima_lower", "sarima_point", "sarima_upper")
 

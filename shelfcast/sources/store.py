@@ -20,9 +20,9 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 class TableStore:
     """Named tables under ``root``, a folder all executors reach.
 
-    A table is a folder of versions and a pointer file that names the one that counts.  A write goes
-    to a new version; the pointer is replaced last, in one step, so a reader sees the old
-    table or the new one and a crash leaves the old one.
+    A table is a folder of parts and a pointer file that names those that count, one a line.  A write goes
+    to a new part; the pointer is replaced last, in one step, so a reader sees the old rows or the new ones,
+    a crash leaves the old ones, and a write that is tried again adds its rows once.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -36,17 +36,17 @@ class TableStore:
     def _pointer(self, name: str) -> str:
         return f"{self.root}/{name}/_CURRENT"
 
-    def path(self, name: str) -> str:
-        """The folder of the version that counts."""
+    def parts(self, name: str) -> list[str]:
+        """The folders of the parts that count, oldest first."""
         files, pointer = self._at(self._pointer(name))
         if not files.exists(pointer):
             raise FileNotFoundError(f"table {name} is not in {self.root}; build it first")
         stream = files.open(pointer)
         try:
-            version = bytes(stream.readAllBytes()).decode()
+            named = bytes(stream.readAllBytes()).decode().split()
         finally:
             stream.close()
-        return f"{self.root}/{name}/{version}"
+        return [f"{self.root}/{name}/{part}" for part in named]
 
     def exists(self, name: str) -> bool:
         """Whether the table was written to the end."""
@@ -54,7 +54,7 @@ class TableStore:
         return files.exists(pointer)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(*self.parts(name))
 
     def replace(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = ()) -> bool:
         """Replaces a table; an empty frame is not kept and the old table stays.
@@ -71,25 +71,27 @@ class TableStore:
         if self.spark.read.schema(df.schema).parquet(fresh).isEmpty():
             files.delete(new, True)
             return False
-        self._point(name, version)
+        self._point(name, [version])
         return True
 
-    def _point(self, name: str, version: str) -> None:
-        """Makes ``version`` the one that counts; older ones but the last are removed."""
+    def _point(self, name: str, counts: list[str]) -> None:
+        """Makes the parts ``counts`` those that count; others but the ones before them are removed."""
         files, pointer = self._at(self._pointer(name))
-        before = self.path(name) if files.exists(pointer) else None
+        kept = {*counts, *(part.rsplit("/", 1)[-1] for part in (self.parts(name) if files.exists(pointer) else []))}
         out = files.create(pointer, True)
-        out.write(bytearray(version.encode()))
+        out.write(bytearray("\n".join(counts).encode()))
         out.close()
         for status in files.listStatus(pointer.getParent()):
             folder = status.getPath().getName()
-            if folder.startswith("v-") and folder != version and not (before or "").endswith(folder):
+            if folder.startswith("v-") and folder not in kept:
                 files.delete(status.getPath(), True)
 
     def append(self, name: str, df: DataFrame) -> None:
-        """Adds rows, matched to the table by column name."""
-        columns = self.read(name).columns
-        df.select(*columns).write.mode("append").parquet(self.path(name))
+        """Adds rows, matched to the table by column name, as a part of their own."""
+        before = [part.rsplit("/", 1)[-1] for part in self.parts(name)]
+        version = f"v-{uuid.uuid4().hex[:12]}"
+        df.select(*self.read(name).columns).write.parquet(f"{self.root}/{name}/{version}")
+        self._point(name, [*before, version])
 
     def cached(self, name: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
         """The stored table, built when absent or forced."""

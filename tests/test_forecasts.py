@@ -64,36 +64,20 @@ def naive_error(master, name, k=1):
 
 
 def test_boosted(spark, master, features, tmp_path):
-    model = boosted.fit_boosted(features, val_days=20, depth=3)
+    model = boosted.fit_boosted(features, val_days=20, rounds=120, patience=30, leaves=8)
     preds = boosted.predict_boosted(model, features).persist()
     assert preds.columns == ["id", "date", "lgbm_point", "lgbm_q10", "lgbm_q50", "lgbm_q90"]
     assert preds.count() == 2 * (DAYS - 56)
     assert preds.filter("lgbm_point < 0 or lgbm_q10 > lgbm_q50 or lgbm_q50 > lgbm_q90 or lgbm_q10 is null").isEmpty()
     assert error(master, preds, "lgbm_point", DENSE) < naive_error(master, DENSE)
-    top = boosted.feature_importance(spark, model, 5).collect()
-    assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"] > 0
+    top = boosted.feature_importance(model, features, 5, val_days=20).collect()
+    assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"] and top[0]["importance"] > 0
     model.save(str(tmp_path / "m"))
+    model.save(str(tmp_path / "m"))  # a second version
     again = boosted.predict_boosted(boosted.Boosted.load(spark, str(tmp_path / "m")), features)
     assert preds.exceptAll(again).isEmpty()
 
 
-def test_patience_keeps_the_best_round(spark):
-    """Errors as given: the fit is doubled until the best round is far enough from the end, then cut there."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-    rows = spark.range(80).selectExpr("cast(id as double) AS x", "cast(id % 7 as double) AS sales", "id >= 60 AS is_val")
-    matrix = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
-    asked = []
-
-    def errors(model, val):
-        asked.append(model.getNumTrees)
-        return [10.0 - n if n <= 5 else 5.0 + n for n in range(1, model.getNumTrees + 1)]
-
-    steps = int(boosted.STEP / boosted.USUAL_STEP)
-    kept = boosted.patient(GBTRegressor(labelCol="sales", maxDepth=1), matrix, 100 * steps, 3 * steps, errors)
-    assert asked == [6, 12] and kept.getNumTrees == 5
-
-
 def test_new_category_gets_the_mean(spark, features):
     matrix, codes, names = boosted.model_matrix(features, val_days=20)
     other = features.filter(F.col("id") == DENSE).withColumns({"id": F.lit("new"), "item_id": F.lit("new")})
@@ -104,7 +88,7 @@ def test_new_category_gets_the_mean(spark, features):
 
 def test_dual(spark, master, features, tmp_path):
     ids = spark.createDataFrame([(SPARSE,)], "id string")
-    model = dual.fit_dual(features, ids, val_days=20, depth=3)
+    model = dual.fit_dual(features, ids, val_days=20, rounds=60, leaves=8)
     preds = dual.predict_dual(model, features, ids).persist()
     assert preds.columns == ["id", "date", "dual_occurrence_prob", "dual_magnitude", "dual_point"]
     assert preds.count() == DAYS - 56
@@ -117,7 +101,7 @@ def test_dual(spark, master, features, tmp_path):
 
 def test_dual_with_one_outcome(spark, features):
     ids = spark.createDataFrame([(DENSE,)], "id string")
-    preds = dual.predict_dual(dual.fit_dual(features, ids, val_days=20, rounds=3, depth=2), features, ids)
+    preds = dual.predict_dual(dual.fit_dual(features, ids, val_days=20, rounds=3, leaves=4), features, ids)
     assert preds.filter("dual_occurrence_prob <> 1").isEmpty() and preds.filter("dual_point <= 0").isEmpty()
 
 

@@ -70,3 +70,11 @@ def test_odd_rows(spark, odd, none, tokenizer):
     assert [r.doc_id for r in rows] == [None, None, 1, 2, 3, 4, 5, 6, 6, 7, 8, 9, 10, 10, 11]
     assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:])) and rows[2].n_tokens == 1
     assert packfile.read_packed(packfile.write_packed(none, new_path(spark, "none"), tokenizer, 1)).collect() == []
+
+
+def test_case_before_combining_marks(tokenizer):
+    """Letters that have a composed form in lower case only."""
+    from shelfcast.llm.tokens import encoder
+    library = Tokenizer.from_file(tokenizer)
+    for text in ("H\u0331ello WORLD", "J\u030ca T\u0308x", "E\u0301cole H"):
+        assert encoder(tokenizer).ids([text.encode()])[0].tolist() == library.encode(text, add_special_tokens=False).ids

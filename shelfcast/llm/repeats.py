@@ -7,15 +7,17 @@ smaller doc_id, or earlier in the same one.  Strings are judged on the input.
    equal anchors at equal places.  A phrase is a maximal stretch of a text whose windows share one anchor
    occurrence; it is at most 2 x window - K bytes long.  Each task keeps the first of equal phrases it sees and marks
    the rest; then one shuffle by anchor keeps the first of each phrase and marks its copies.
-2. Index.  Anchors that are left with two or more different phrases are dealt into shards of bounded size with
-   their bytes.  A shard builds the Burrows-Wheeler transform of its phrases and run-length
+2. Flanks.  Around its anchor a window has (window - K) / 2 bytes or more on one side, so two phrases share a window only
+   if they agree in that many bytes left or right of the anchor.  Phrases whose flanks no other phrase of their
+   anchor has, compared by 32 bits of hash, can share nothing and go no further.
+3. Index.  The phrases left are dealt by anchor into shards of bounded size with their bytes.  A shard builds the Burrows-Wheeler transform of its phrases and run-length
    compresses it, with the text position of every run's first symbol sampled and the length of the match
    with its predecessor there.  Streaming the text through the samples gives every other position's predecessor
    and match length, each one more or less than that of the position before.  Positions whose matches reach
    a window are the same string as their predecessor's; all but the earliest are marked.
-3. An anchor with more phrases than an index should hold (a line in very many texts) gives its windows one by
+4. An anchor with more phrases than an index should hold (a line in very many texts) gives its windows one by
    one instead, and equal windows are settled as equal phrases were, in a stream of any length.
-4. Marks become spans per document, and the spans are cut.
+5. Marks become spans per document, and the spans are cut.
 
 Phrases and windows are told apart by anchor and phrase hash together, 128 bits; the index compares bytes.
 
@@ -59,8 +61,16 @@ def _window_least(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.where(hashes[right] < hashes[left], right, left)
 
 
+def _flank(prefix: np.ndarray, start: np.ndarray, size: int, there: np.ndarray) -> np.ndarray:
+    """Hashes of ``size`` bytes from each start, odd numbers of 32 bits; 0 where they are not all ``there``."""
+    at = start[there]
+    out = np.zeros(len(start), np.uint32)
+    out[there] = spans_hash(prefix, at, at + size) >> np.uint64(32) | np.uint64(1)
+    return out.view(np.int32)
+
+
 def phrases(data: np.ndarray, window: int = WINDOW, k: int = K) -> tuple[np.ndarray, ...]:
-    """Of one run of bytes: each phrase's first window, number of windows, anchor's hash and phrase's hash."""
+    """Of one run of bytes: each phrase's first window, number of windows, anchor's hash, phrase's hash, left and right flank."""
     prefix = rolling(data)
     at = np.arange(len(data) - k + 1)
     grams = spans_hash(prefix, at, at + k)
@@ -70,7 +80,10 @@ def phrases(data: np.ndarray, window: int = WINDOW, k: int = K) -> tuple[np.ndar
     anchor = least[start]
     # The anchor's place in the phrase is part of the phrase's name.
     name = mix(spans_hash(prefix, start, start + count + window - 1) + (anchor - start).astype(np.uint64))
-    return start, count, grams[anchor], name
+    size = (window - k + 1) // 2
+    left = _flank(prefix, anchor - size, size, anchor - start >= size)
+    right = _flank(prefix, anchor + k, size, start + count + window - 1 - anchor - k >= size)
+    return start, count, grams[anchor], name, left, right
 
 
 # ---- the index -------------------------------------------------------------------------
@@ -168,13 +181,13 @@ def repeated_windows(parts: list[bytes], window: int = WINDOW) -> list[np.ndarra
 # ---- jobs ------------------------------------------------------------------------------
 
 #: kind 0: the first of a phrase so far; 1: windows that occur earlier; 2: a phrase of an anchor with several.
-_FOUND = "kind byte, anchor long, name long, doc_id long, place long, windows int"
+_FOUND = "kind byte, anchor long, name long, left int, right int, doc_id long, place long, windows int"
 _MARK = "doc_id long, place long, windows int"
 
 
-def _rows(kind: int, doc_id, place, windows, anchor, name) -> pd.DataFrame:
+def _rows(kind: int, doc_id, place, windows, anchor, name, left=0, right=0) -> pd.DataFrame:
     return pd.DataFrame({"kind": np.full(len(place), kind, np.int8), "anchor": anchor.view(np.int64), "name": name.view(np.int64),
-                         "doc_id": doc_id, "place": place, "windows": windows.astype(np.int32)})
+                         "left": left, "right": right, "doc_id": doc_id, "place": place, "windows": windows.astype(np.int32)})
 
 
 def _joined(place: np.ndarray, windows: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,15 +210,15 @@ def _find(window: int, k: int):
                     data = np.frombuffer(texts[i], np.uint8)
                     # A very long text goes in stretches that share a window less one.
                     for a in range(0, max(0, len(data) - window + 1), 1 << 20):
-                        start, count, anchor, name = phrases(data[a:a + (1 << 20) + window - 1], window, k)
-                        rows.append((start + a, count, anchor, name, np.full(len(start), i)))
+                        start, *rest = phrases(data[a:a + (1 << 20) + window - 1], window, k)
+                        rows.append((start + a, *rest, np.full(len(start), i)))
                 if not rows:
                     continue
-                start, count, anchor, name, owner = (np.concatenate(x) for x in zip(*rows))
+                start, count, anchor, name, left, right, owner = (np.concatenate(x) for x in zip(*rows))
                 place = base[owner] + start
                 first = np.zeros(len(place), bool)
                 first[np.unique(mix(anchor) + name, return_index=True)[1]] = True  # rows are in corpus order
-                yield _rows(0, ids[owner[first]], place[first], count[first], anchor[first], name[first])
+                yield _rows(0, ids[owner[first]], place[first], count[first], anchor[first], name[first], left[first], right[first])
                 if not first.all():
                     place, windows, owner = _joined(place[~first], count[~first], owner[~first])
                     # Marks need no place among the anchors; any number spreads them.
@@ -259,14 +272,14 @@ def _fetch(window: int):
                     data, i = np.frombuffer(part, np.uint8), np.arange(w["windows"])
                     single.append((spans_hash(rolling(data), i, i + window), spans_hash(rolling(255 - data), i, i + window),
                                    np.full(len(i), doc_id), w["place"] + i))
-            yield pd.DataFrame(whole, columns=["anchor", "doc_id", "place", "bytes"]).assign(name=0, kind=np.int8(2), windows=0)[_FETCHED]
+            yield pd.DataFrame(whole, columns=["anchor", "doc_id", "place", "bytes"]).assign(name=0, left=0, right=0, kind=np.int8(2), windows=0)[_FETCHED]
             if single:
                 anchor, name, doc_id, place = (np.concatenate(x) for x in zip(*single))
                 yield _rows(0, doc_id, place, np.ones(len(place)), anchor, name).assign(bytes=pd.Series([None] * len(place), dtype=object))[_FETCHED]
     return run
 
 
-_FETCHED = ["kind", "anchor", "name", "doc_id", "place", "windows", "bytes"]
+_FETCHED = ["kind", "anchor", "name", "left", "right", "doc_id", "place", "windows", "bytes"]
 
 
 def _index(window: int):
@@ -292,12 +305,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_tag": tag})
 
 
+def _with_equal_flank(phrase: DataFrame) -> DataFrame:
+    """The phrases of which another phrase of the same anchor has the left or the right flank."""
+    for side in ("left", "right"):
+        shared = phrase.where(F.col(side) != 0).groupBy("anchor", side).count().where("count > 1")
+        phrase = phrase.join(shared.select("anchor", side, F.lit(True).alias(f"{side}_shared")), ["anchor", side], "left")
+    return phrase.where("left_shared OR right_shared").select("anchor", "doc_id", "place", "windows")
+
+
 def marks(docs: DataFrame, window: int = WINDOW, k: int = K, hot: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(_id, _tag, spans): per document the stretches of windows, (place, windows), that occur earlier; ``docs`` is keyed."""
     order = ["anchor", "name", "doc_id", "place"]
     found = docs.select(F.col("_id").alias("doc_id"), F.col("_tag").alias("tag"), text_bytes().alias("text")).mapInPandas(_find(window, k), _FOUND)
     settled = stage(found.repartition("anchor").sortWithinPartitions(*order).mapInPandas(_settle, _FOUND), "settled")
-    phrase = settled.where("kind = 2")
+    phrase = stage(_with_equal_flank(settled.where("kind = 2")), "flanked")
     crowded = stage(phrase.groupBy("anchor").count().where(F.col("count") > hot).select("anchor", F.lit(True).alias("hot")), "crowded")
     tag = F.shiftright("place", 32)
     wanted = (phrase.join(crowded, "anchor", "left").groupBy("doc_id", tag.alias("tag"))

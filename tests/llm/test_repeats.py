@@ -46,6 +46,26 @@ def test_index_against_all_windows():
             assert later.tolist() == want
 
 
+def test_phrases_that_share_a_window_share_a_flank():
+    rnd = random.Random(8)
+    met = 0
+    for _ in range(60):
+        shared = bytes(rnd.choice(b"abcdefgh") for _ in range(rnd.randint(40, 60)))
+        sides = []
+        for _ in range(2):
+            text = bytes(rnd.choice(b"abcdefgh") for _ in range(rnd.randint(0, 50))) + shared + bytes(rnd.choice(b"abcdefgh") for _ in range(rnd.randint(0, 50)))
+            if len(text) < 40:
+                continue
+            found = repeats.phrases(np.frombuffer(text, np.uint8), 40, 8)
+            sides.append([(a, l, r, {text[i:i + 40] for i in range(s, s + n)}) for s, n, a, _, l, r in zip(*(x.tolist() for x in found))])
+        for a, left, right, windows in sides[0]:
+            for b, other_left, other_right, others in sides[1]:
+                if windows & others:
+                    met += 1
+                    assert a == b and (left and left == other_left or right and right == other_right)
+    assert met > 50
+
+
 def test_runs_are_fewer_than_symbols_where_text_repeats():
     part = bytes(random.Random(1).choice(b"abcdefgh") for _ in range(150))
     index = repeats.RunLengthIndex([part] * 50)

@@ -1,12 +1,15 @@
-"""Seasonal ARIMA on daily differences, fitted by two regressions (Hannan and Rissanen 1982).
+"""Seasonal ARIMA on plain and seasonal differences: two regressions, then conditional least squares.
 
-Spark sums the products each regression needs, one row per series; only those rows go
-to numpy, which solves a batch of small systems at once.  Series whose system cannot be
-solved get no rows.
+Spark sums the products each regression needs (Hannan and Rissanen 1982), one row per series; only those rows go
+to numpy, which solves a batch of small systems at once.  Orders with moving-average terms are then refined by
+Gauss-Newton steps on the recursive shocks, batches of series side by side; a step counts only where it lowers the
+sum of squares.  A day without a value counts as 0 where it is a lag.  Series whose system cannot be solved get no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +23,8 @@ from shelfcast.operators.reshape import keep_ids
 ORDER = (1, 1, 1)
 SEASONAL = (1, 0, 1, 7)
 LONG_LAGS = 14
+#: Gauss-Newton steps, and series that take them side by side.
+ROUNDS, SIDE_BY_SIDE = 10, 128
 FIT = T.StructType([T.StructField("beta", T.ArrayType(T.DoubleType())), T.StructField("sigma2", T.DoubleType())])
 
 
@@ -29,6 +34,14 @@ def product_lags(order: int, seasonal: int, period: int) -> list[int]:
     return sorted({s + period * k for s in short for k in range(seasonal + 1)} - {0})
 
 
+def difference_weights(plain: int, seasonal: int, period: int) -> dict[int, float]:
+    """Weights by lag, from 1, of (1 - B)^plain (1 - B^period)^seasonal."""
+    weights = np.ones(1)
+    for lag in [1] * plain + [period] * seasonal:
+        weights = np.convolve(weights, [1.0, *[0.0] * (lag - 1), -1.0])
+    return {k: w for k, w in enumerate(weights.tolist()) if k and w}
+
+
 def _dot(weights: str, values: list[Column]) -> Column:
     total = F.lit(0.0)
     for i, value in enumerate(values):
@@ -38,6 +51,8 @@ def _dot(weights: str, values: list[Column]) -> Column:
 
 def _solve_batch(grams: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Solutions of a stack of systems and a mask of those that are well conditioned."""
+    if not grams.shape[1]:
+        return np.zeros_like(targets), np.ones(len(grams), bool)
     size = np.sqrt(np.abs(np.einsum("nii->ni", grams))).clip(1e-12)
     scaled = grams / size[:, :, None] / size[:, None, :]
     good = np.isfinite(scaled).all(axis=(1, 2)) & (np.linalg.cond(np.nan_to_num(scaled)) < 1e10)
@@ -80,13 +95,16 @@ def regression(products: pd.Series, rows: pd.Series) -> pd.DataFrame:
                          "sigma2": np.where(good, sigma2, np.nan)})
 
 
-def _differences(panel: DataFrame, ids: DataFrame | None, min_rows: int) -> DataFrame:
-    """(id, date, y, step, rn) of the series with enough rows."""
+def _differences(panel: DataFrame, ids: DataFrame | None, taken: dict[int, float], min_rows: int) -> DataFrame:
+    """(id, date, y, base, step, rn, n) of the series with enough rows; y is base, the part its past gives, plus step."""
     rows = panel if ids is None else keep_ids(panel, ids)
     y = F.col("sales").cast("double")
+    step, base = y, F.lit(0.0)
+    for lag, weight in taken.items():
+        step = step + F.lit(weight) * F.lag(y, lag).over(by_series())
+        base = base - F.lit(weight) * F.coalesce(F.lag(y, lag).over(by_series()), F.lit(0.0))
     return (
-        rows.select("id", "date", y.alias("y"), F.row_number().over(by_series()).alias("rn"),
-                    (y - F.lag("sales").over(by_series())).alias("step"),
+        rows.select("id", "date", y.alias("y"), base.alias("base"), step.alias("step"), F.row_number().over(by_series()).alias("rn"),
                     F.count("sales").over(Window.partitionBy("id")).alias("n"))
         .filter(F.col("n") >= min_rows)
     )
@@ -105,16 +123,15 @@ def _with_shocks(diffs: DataFrame) -> DataFrame:
                     (F.coalesce("step", F.lit(0.0)) - _dot("pi", [F.col(c) for c in names])).alias("shock")))
 
 
-def _design(panel: DataFrame, ids, ar: list[int], ma: list[int], min_rows: int) -> tuple[DataFrame, list[str], int]:
-    """Rows with one column per regressor, their names, and the first row number to fit on."""
-    rows = _differences(panel, ids, min_rows)
+def _design(rows: DataFrame, ar: list[int], ma: list[int], lead: int) -> tuple[DataFrame, list[str], int]:
+    """Rows with one column per regressor, their names, and the first row number to fit on; ``lead`` rows have no step."""
     if ma:
         rows = _with_shocks(rows)
     cols = {f"a{k}": F.lag("step", k).over(by_series()) for k in ar}
     cols |= {f"m{k}": F.lag("shock", k).over(by_series()) for k in ma}
-    first = 1 + max([*ar, 0]) + 1
+    first = lead + max([*ar, 0]) + 1
     if ma:
-        first = max(first, 1 + LONG_LAGS + max(ma) + 1)
+        first = max(first, lead + LONG_LAGS + max(ma) + 1)
     return rows.withColumns(cols), list(cols), first
 
 
@@ -127,44 +144,144 @@ def _fits(rows: DataFrame, names: list[str], first: int) -> DataFrame:
             .filter(F.col("beta").isNotNull()))
 
 
-def _lags(order, seasonal) -> tuple[list[int], list[int]]:
-    if order[1] != 1 or seasonal[1] != 0:
-        raise ValueError("one plain difference is supported: order (p, 1, q), seasonal (P, 0, Q, s)")
-    return (product_lags(order[0], seasonal[0], seasonal[3]), product_lags(order[2], seasonal[2], seasonal[3]))
+def _lags(order, seasonal) -> tuple[list[int], list[int], dict[int, float]]:
+    """Lags of steps and of shocks, and the weights that make steps."""
+    return (product_lags(order[0], seasonal[0], seasonal[3]), product_lags(order[2], seasonal[2], seasonal[3]),
+            difference_weights(order[1], seasonal[1], seasonal[3]))
+
+
+# ---- conditional least squares -----------------------------------------------------------
+
+def _later(values: np.ndarray, lag: int) -> np.ndarray:
+    """``values`` (days first) moved ``lag`` days on, zeros before."""
+    out = np.zeros_like(values)
+    out[lag:] = values[:max(0, len(values) - lag)]
+    return out
+
+
+def shocks(step: np.ndarray, seen: np.ndarray, ar: list[int], ma: list[int], beta: np.ndarray, slopes: bool = False) -> np.ndarray:
+    """(day, series, 1 or 1 + weights): each day's shock, 0 where it is not ``seen``, and its slopes by the weights of ``beta``."""
+    lagged = [_later(step, k) for k in ar]
+    out = np.zeros((*step.shape, 1 + (beta.shape[1] if slopes else 0)))
+    out[:, :, 0] = step - sum((beta[:, i] * x for i, x in enumerate(lagged)), np.zeros_like(step))
+    for i, x in enumerate(lagged if slopes else []):
+        out[:, :, 1 + i] = -x
+    for day in range(len(step)):
+        for j, k in enumerate(ma):
+            if day >= k:
+                if slopes:
+                    out[day, :, 1 + len(ar) + j] -= out[day - k, :, 0]
+                out[day] -= beta[:, len(ar) + j, None] * out[day - k]
+        out[day] *= seen[day, :, None]
+    return out
+
+
+def refine(step: np.ndarray, seen: np.ndarray, ar: list[int], ma: list[int], beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights whose sum of squared shocks is not above that of ``beta``, and that sum, per series."""
+    def sums(weights):
+        out = shocks(step, seen, ar, ma, weights, slopes=True)
+        both = np.einsum("dsa,dsb->sab", out, out, optimize=True)
+        return both[:, 0, 0], both[:, 1:, 0], both[:, 1:, 1:]
+
+    with np.errstate(all="ignore"):  # shocks of weights that cannot be inverted grow beyond bounds
+        # The regressions may leave such weights; smaller ones are then the better start.
+        starts = [beta * np.where(np.arange(beta.shape[1]) < len(ar), 1.0, shrink) for shrink in (1.0, 0.5, 0.0)]
+        squares = np.stack([(shocks(step, seen, ar, ma, b) ** 2).sum(axis=(0, 2)) for b in starts])
+        beta = np.stack(starts)[np.where(np.isfinite(squares), squares, np.inf).argmin(axis=0), np.arange(len(beta))]
+        least, slope, curve = sums(beta)
+        damp = np.full(len(beta), 1e-3)
+        for _ in range(ROUNDS):
+            move, _ = _solve_batch(curve * (1 + damp[:, None, None] * np.eye(beta.shape[1])), -slope)
+            trial = beta + move
+            square, new_slope, new_curve = sums(trial)
+            better = square < least
+            beta, least = np.where(better[:, None], trial, beta), np.where(better, square, least)
+            slope, curve = np.where(better[:, None], new_slope, slope), np.where(better[:, None, None], new_curve, curve)
+            damp = np.where(better, damp / 10, damp * 10)
+    return beta, least
+
+
+def _tracks(ar: list[int], ma: list[int], lead: int):
+    """A function of one row per series: its refined fit, and each day's shock and the step its past gives."""
+    doubles = T.ArrayType(T.DoubleType())
+    out = T.StructType([*FIT.fields, T.StructField("shock", doubles), T.StructField("ahead", doubles)])
+
+    def follow(steps: pd.Series, beta: pd.Series, sigma2: pd.Series) -> pd.DataFrame:
+        size = steps.map(len).to_numpy()
+        step = np.full((size.max(), len(steps)), np.nan)
+        for i, own in enumerate(steps):
+            step[:size[i], i] = own
+        seen = np.isfinite(step)
+        seen[:lead + max([*ar, 0])] = False
+        step = np.nan_to_num(step)
+        weights, left = np.stack(beta.to_list()).astype(float), sigma2.to_numpy(float)
+        if ma:
+            weights, squares = refine(step, seen, ar, ma, weights)
+            left = squares / np.maximum(seen.sum(axis=0) - weights.shape[1], 1)
+        shock = shocks(step, seen, ar, ma, weights)[:, :, 0]
+        ahead = sum((weights[:, i] * _later(step, k) for i, k in enumerate(ar)), np.zeros_like(step))
+        ahead = ahead + sum((weights[:, len(ar) + j] * _later(shock, k) for j, k in enumerate(ma)), np.zeros_like(step))
+        return pd.DataFrame({"beta": list(weights), "sigma2": left, "shock": [shock[:n, i] for i, n in enumerate(size)],
+                             "ahead": [ahead[:n, i] for i, n in enumerate(size)]})
+
+    @F.pandas_udf(out)
+    def track(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            parts = [follow(*(c.iloc[a:a + SIDE_BY_SIDE] for c in columns)) for a in range(0, len(columns[0]), SIDE_BY_SIDE)]
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=out.names)
+
+    return track
+
+
+def fitted_series(panel: DataFrame, ids: DataFrame | None = None, order=ORDER, seasonal=SEASONAL, min_rows: int = 60) -> DataFrame:
+    """(id, days, fit) per series: its days (rn, date, y, base, step) in order, and beta, sigma2, shock and ahead of the fit."""
+    ar, ma, taken = _lags(order, seasonal)
+    lead = max(taken, default=0)
+    steps = _differences(panel, ids, taken, min_rows)
+    rows, names, first = _design(steps, ar, ma, lead)
+    # A series has one row per day, so its list is as long as the calendar at most.
+    series = steps.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rn", "date", "y", "base", "step"))).alias("days"))
+    return (series.join(_fits(rows, names, first), "id")
+            .select("id", "days", _tracks(ar, ma, lead)("days.step", "beta", "sigma2").alias("fit")))
 
 
 def seasonal_arima(panel: DataFrame, ids: DataFrame | None = None, order=ORDER, seasonal=SEASONAL,
                    min_rows: int = 60) -> DataFrame:
     """One-step forecasts (id, date, sarima_point) of every day of each series, not below 0."""
-    ar, ma = _lags(order, seasonal)
-    rows, names, first = _design(panel, ids, ar, ma, min_rows)
-    before = F.coalesce(F.lag("y").over(by_series()), F.lit(0.0))
-    point = F.col("before") + _dot("beta", [F.col(c) for c in names])
-    return (rows.withColumn("before", before).join(_fits(rows, names, first), "id")
-            .select("id", "date", F.greatest(point, F.lit(0.0)).alias("sarima_point")))
+    found = fitted_series(panel, ids, order, seasonal, min_rows)
+    return (found.select("id", F.explode(F.arrays_zip(F.col("days").alias("day"), F.col("fit.ahead").alias("ahead"))).alias("at"))
+            .select("id", "at.day.date", F.greatest(F.col("at.day.base") + F.col("at.ahead"), F.lit(0.0)).alias("sarima_point")))
 
 
-def _path(ar: list[int], ma: list[int], horizon: int):
+def _path(ar: list[int], ma: list[int], taken: dict[int, float], horizon: int):
     """A function of one row per series that extends it by ``horizon`` days."""
     out = T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("point", "lower", "upper")]))
+    kept = max([*ar, *ma, *taken, 1])
+
+    def tails(values: pd.Series) -> np.ndarray:
+        """The last days of each series, zeros before short ones, and room for the days ahead."""
+        track = np.zeros((len(values), kept + horizon))
+        for i, own in enumerate(values):
+            last = np.nan_to_num(np.asarray(own, float)[-kept:])
+            track[i, kept - len(last):kept] = last
+        return track
 
     @F.pandas_udf(out)
-    def extend(steps: pd.Series, shocks: pd.Series, level: pd.Series, beta: pd.Series, sigma2: pd.Series) -> pd.Series:
+    def extend(levels: pd.Series, steps: pd.Series, noise: pd.Series, beta: pd.Series, sigma2: pd.Series) -> pd.Series:
         weights = np.stack(beta.to_list()).astype(float)
-        past, noise = np.stack(steps.to_list()).astype(float), np.stack(shocks.to_list()).astype(float)
-        count, kept = past.shape
-        track = np.hstack([past, np.zeros((count, horizon))])
-        known = np.hstack([noise, np.zeros((count, horizon))])
-        psi = np.zeros((count, horizon))
+        level, track, known = tails(levels), tails(steps), tails(noise)
+        psi, rise = np.zeros((len(level), horizon)), np.zeros((len(level), horizon))
         for h in range(horizon):
             at = kept + h
             track[:, at] = (sum(weights[:, i] * track[:, at - k] for i, k in enumerate(ar))
                             + sum(weights[:, len(ar) + i] * known[:, at - k] for i, k in enumerate(ma)))
+            level[:, at] = track[:, at] - sum(w * level[:, at - k] for k, w in taken.items())
             psi[:, h] = 1.0 if h == 0 else (
                 sum(weights[:, i] * psi[:, h - k] for i, k in enumerate(ar) if k <= h)
                 + sum(weights[:, len(ar) + i] for i, k in enumerate(ma) if k == h))
-        point = level.to_numpy(float)[:, None] + track[:, kept:].cumsum(axis=1)
-        spread = 1.959964 * np.sqrt((psi.cumsum(axis=1) ** 2).cumsum(axis=1) * sigma2.to_numpy(float)[:, None])
+            rise[:, h] = psi[:, h] - sum(w * rise[:, h - k] for k, w in taken.items() if k <= h)
+        point = level[:, kept:]
+        spread = 1.959964 * np.sqrt((rise ** 2).cumsum(axis=1) * sigma2.to_numpy(float)[:, None])
         lower, upper = np.maximum(point - spread, 0), np.maximum(point + spread, 0)
         point = np.maximum(point, 0)
         return pd.Series([[{"point": p, "lower": lo, "upper": up} for p, lo, up in zip(*three)]
@@ -176,32 +293,25 @@ def _path(ar: list[int], ma: list[int], horizon: int):
 def seasonal_arima_forecast(panel: DataFrame, ids: DataFrame | None = None, horizon: int = 28, order=ORDER,
                             seasonal=SEASONAL, min_rows: int = 60) -> DataFrame:
     """The next days (id, date, sarima_point, sarima_lower, sarima_upper) with 95 % bounds."""
-    ar, ma = _lags(order, seasonal)
-    rows, names, first = _design(panel, ids, ar, ma, min_rows)
-    keep = max([*ar, *ma, 1])
-    shock = F.col("shock") if ma else F.lit(0.0)
-    tail = (
-        rows.filter(F.col("rn") > F.col("n") - keep).groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("rn", "step", shock.alias("shock")))).alias("tail"),
-             F.max_by("y", "date").alias("level"), F.max("date").alias("last")))
-    path = _path(ar, ma, horizon)("tail.step", "tail.shock", "level", "beta", "sigma2")
+    path = _path(*_lags(order, seasonal), horizon)("days.y", "days.step", "fit.shock", "fit.beta", "fit.sigma2")
     return (
-        tail.join(_fits(rows, names, first), "id")
-        .select("id", "last", F.posexplode(path).alias("at", "f"))
+        fitted_series(panel, ids, order, seasonal, min_rows)
+        .select("id", F.element_at("days.date", -1).alias("last"), F.posexplode(path).alias("at", "f"))
         .select("id", F.date_add("last", F.col("at") + 1).alias("date"), F.col("f.point").alias("sarima_point"),
                 F.col("f.lower").alias("sarima_lower"), F.col("f.upper").alias("sarima_upper"))
     )
 
 
 def order_search(panel: DataFrame, ids: DataFrame | None = None, p_range=range(3), q_range=range(3),
-                 seasonal=SEASONAL, min_rows: int = 60) -> DataFrame:
-    """Mean AIC per (p, q) over the series of ``ids``; ``best`` marks the lowest.
+                 seasonal=SEASONAL, min_rows: int = 60, plain: int = 1) -> DataFrame:
+    """Mean AIC per (p, q) over the series of ``ids``, of ``plain`` and seasonal differences; ``best`` marks the lowest.
 
     Every order reads its part of one table of sums, so the panel is read once for all.
     """
     widest_ar = product_lags(max(p_range), seasonal[0], seasonal[3])
     widest_ma = product_lags(max(q_range), seasonal[2], seasonal[3])
-    rows, names, first = _design(panel, ids, widest_ar, widest_ma, min_rows)
+    taken = difference_weights(plain, seasonal[1], seasonal[3])
+    rows, names, first = _design(_differences(panel, ids, taken, min_rows), widest_ar, widest_ma, max(taken, default=0))
     grid = [(p, q, [names.index(f"a{k}") + 1 for k in product_lags(p, seasonal[0], seasonal[3])]
              + [names.index(f"m{k}") + 1 for k in product_lags(q, seasonal[2], seasonal[3])])
             for p in p_range for q in q_range]

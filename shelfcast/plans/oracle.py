@@ -361,6 +361,14 @@ CTES: dict[str, str] = {
               FROM (SELECT id, sum(a * a) aa, sum(a * b) ab, sum(a * c) ac, sum(b * b) bb, sum(b * c) bc, sum(c * c) cc,
                            sum(step * a) ya, sum(step * b) yb, sum(step * c) yc
                     FROM steps WHERE rn >= 10 GROUP BY id))""",
+    "week_steps": """
+        SELECT *, lag(w) OVER (PARTITION BY id ORDER BY date) AS a
+        FROM (SELECT id, date, row_number() OVER v AS rn, lag(sales, 7) OVER v AS before, CAST(sales - lag(sales, 7) OVER v AS DOUBLE) AS w
+              FROM panel WINDOW v AS (PARTITION BY id ORDER BY date))""",
+    "both_steps": """
+        SELECT id, date, sales, row_number() OVER v AS rn, count(*) OVER (PARTITION BY id) AS n,
+               CAST(sales - lag(sales) OVER v - lag(sales, 7) OVER v + lag(sales, 8) OVER v AS DOUBLE) AS w
+        FROM panel WINDOW v AS (PARTITION BY id ORDER BY date)""",
 }
 
 

@@ -582,6 +582,25 @@ def _(t):
     return rounded(seasonal_arima.seasonal_arima(t.panel, order=(1, 1, 0), seasonal=(1, 0, 0, 7)), "sarima_point", places=4)
 
 
+@query("seasonal_difference_ar", """
+    SELECT id, date, round(greatest(coalesce(before, 0) + coalesce(a, 0) * wa, 0), 4) AS sarima_point
+    FROM week_steps JOIN (SELECT id, sum(w * a) / sum(a * a) AS wa FROM week_steps WHERE rn >= 9 GROUP BY id) USING (id)""")
+def _(t):
+    return rounded(seasonal_arima.seasonal_arima(t.panel, order=(1, 0, 0), seasonal=(0, 1, 0, 7)), "sarima_point", places=4)
+
+
+@query("seasonal_difference_ahead", """
+    SELECT id, hi + CAST(k AS INTEGER) AS date, greatest(point, 0) AS sarima_point,
+           round(greatest(point - spread, 0), 4) AS sarima_lower, round(greatest(point + spread, 0), 4) AS sarima_upper
+    FROM (SELECT id, max(date) AS hi, k, CAST(max(sales) FILTER (rn = n) + max(sales) FILTER (rn = n + k - 7) - max(sales) FILTER (rn = n - 7) AS DOUBLE) AS point,
+                 1.959964 * sqrt(k * sum(w * w) / count(w)) AS spread
+          FROM both_steps, (SELECT unnest(range(1, 8)) AS k) GROUP BY id, k)""")
+def _(t):
+    """A plain and a weekly difference without weights: the bounds of a week grow with the root of the days."""
+    ahead = seasonal_arima.seasonal_arima_forecast(t.panel, horizon=7, order=(0, 1, 0), seasonal=(0, 1, 0, 7))
+    return rounded(ahead, "sarima_lower", "sarima_upper", places=4)
+
+
 @query("seasonal_arima")
 def _(t):
     return seasonal_arima.seasonal_arima(t.panel)

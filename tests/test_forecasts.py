@@ -155,6 +155,65 @@ def test_ar_fit_matches_least_squares(series):
     assert [row["sarima_point"] for row in got[9:]] == pytest.approx(want.tolist())
 
 
+def test_difference_weights():
+    assert seasonal_arima.difference_weights(1, 1, 7) == {1: -1.0, 7: -1.0, 8: 1.0}
+    assert seasonal_arima.difference_weights(2, 0, 7) == {1: -2.0, 2: 1.0} and seasonal_arima.difference_weights(0, 0, 7) == {}
+
+
+def test_slopes_are_those_of_the_shocks():
+    rnd = np.random.default_rng(2)
+    step, seen = rnd.normal(size=(40, 3)), rnd.random((40, 3)) > 0.1
+    ar, ma = [1, 7], [1, 3]
+    beta = rnd.uniform(-0.4, 0.4, (3, 4))
+    out = seasonal_arima.shocks(step, seen, ar, ma, beta, slopes=True)
+    for day in range(40):  # the recursion, written out
+        want = step[day] - sum(beta[:, i] * step[day - k] for i, k in enumerate(ar) if day >= k)
+        want = want - sum(beta[:, 2 + j] * out[day - k, :, 0] for j, k in enumerate(ma) if day >= k)
+        assert out[day, :, 0] == pytest.approx(np.where(seen[day], want, 0))
+    for w in range(4):
+        near = beta.copy()
+        near[:, w] += 1e-6
+        rise = (seasonal_arima.shocks(step, seen, ar, ma, near)[:, :, 0] - out[:, :, 0]) / 1e-6
+        assert rise == pytest.approx(out[:, :, 1 + w], abs=1e-4)
+
+
+def test_refined_weights_lower_the_squares_and_find_the_true_ones():
+    rnd = np.random.default_rng(5)
+    noise = rnd.normal(size=(1500, 4))
+    step = np.zeros_like(noise)
+    for day in range(1500):
+        step[day] = noise[day] + (0.6 * step[day - 1] + 0.5 * noise[day - 1] if day else 0) + (0.3 * noise[day - 7] if day >= 7 else 0)
+    seen = np.ones(step.shape, bool)
+    for start in (np.zeros((4, 3)), np.tile([0.2, 3.0, -2.0], (4, 1))):  # the second cannot be inverted
+        beta, square = seasonal_arima.refine(step, seen, [1], [1, 7], start)
+        with np.errstate(all="ignore"):
+            before = (seasonal_arima.shocks(step, seen, [1], [1, 7], start) ** 2).sum(axis=(0, 2))
+        assert not (square > before).any() and beta == pytest.approx(np.tile([0.6, 0.5, 0.3], (4, 1)), abs=0.12)
+
+
+def test_seasonal_difference(series):
+    r = random.Random(6)
+    wave = [40, 10, 0, 25, 60, 80, 5]
+    level, sales = 300.0, []
+    for day in range(420):
+        level += r.gauss(0.3, 2)
+        sales.append(int(level) + wave[day % 7] + r.randint(-3, 3))
+    panel = series({"a": sales})
+    rows = seasonal_arima.seasonal_arima(panel, order=(1, 1, 1), seasonal=(1, 1, 1, 7)).orderBy("date").collect()
+    got, y = np.array([x["sarima_point"] for x in rows]), np.array(sales, float)
+    assert len(got) == 420 and np.abs(got - y)[60:].mean() < 0.8 * np.abs(y[7:] - y[:-7])[53:].mean()
+    ahead = seasonal_arima.seasonal_arima_forecast(panel, horizon=14, order=(0, 1, 1), seasonal=(0, 1, 1, 7)).orderBy("date").collect()
+    point = np.array([x["sarima_point"] for x in ahead])
+    assert np.abs(point - (y[-7:].mean() - np.mean(wave) + np.array([wave[(420 + h) % 7] for h in range(14)]))).mean() < 10
+    assert (np.diff([x["sarima_upper"] - x["sarima_lower"] for x in ahead]) > 0).all()
+    # Without weights the forecast is the difference rule alone.
+    rule = seasonal_arima.seasonal_arima_forecast(panel, horizon=9, order=(0, 1, 0), seasonal=(0, 1, 0, 7)).orderBy("date").collect()
+    longer = list(y)
+    for _ in range(9):
+        longer.append(longer[-1] + longer[-7] - longer[-8])
+    assert [x["sarima_point"] for x in rule] == pytest.approx(longer[420:])
+
+
 def test_product_lags():
     assert seasonal_arima.product_lags(1, 1, 7) == [1, 7, 8]
     assert seasonal_arima.product_lags(2, 1, 7) == [1, 2, 7, 8, 9]

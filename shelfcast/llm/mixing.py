@@ -8,10 +8,12 @@ fewest at which every source is used at least once, so that no document is lost.
 A source's budget is spent in whole passes over it and a last part of a pass.  Documents of a source
 stand in blocks by a keyed hash, which permutes them; the last pass takes blocks in order, and within the
 last block documents in order, while their tokens fit.  A source's plan is thus a number of passes and
-a hash up to which documents come once more, so the documents themselves never move.
+a hash up to which documents come once more, so the documents themselves never move.  ``positions`` gives every
+copy its pass, the block's place in that pass and its own place in the block; each pass permutes blocks and the
+documents in them anew, the last one those it takes.
 
 Defined cases: null text has no token; documents without a token come as often as their source's whole passes; a
-null source is a source of its own; rows that repeat doc_id and text fall on the same side of the hash; an
+null source is a source of its own; very long texts are encoded whole; rows that repeat doc_id and text fall on the same side of the hash; an
 empty table gives no rows.
 """
 
@@ -39,6 +41,11 @@ def place(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 2)
 
 
+def source_key() -> Column:
+    """A name for each source; no source has that of null."""
+    return F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+
+
 def token_count(tokenizer: str) -> Column:
     """Number of token ids of ``text``."""
     @F.pandas_udf("long")
@@ -88,9 +95,9 @@ def solve(tokens: dict[str, int], max_epochs: float | None, entropy: float | Non
 
 
 def plan(docs: DataFrame, tokenizer: str, max_epochs: float | None, entropy: float | None, budget: float | None, seed: int) -> DataFrame:
-    """Per source: weight, tokens, whole ``passes``, and ``upto``, the last place that comes once more."""
+    """Per source (its key): weight, tokens, whole ``passes``, ``upto``, the last place that comes once more, and the ``width`` of a block in places."""
     spark = docs.sparkSession
-    counted = stage(docs.select(F.coalesce("source", F.lit("")).alias("source"), place(seed).alias("at"), token_count(tokenizer).alias("n")), "counted")
+    counted = stage(docs.select(source_key().alias("source"), place(seed).alias("at"), token_count(tokenizer).alias("n")), "counted")
     sums = counted.groupBy("source").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs")).limit(MAX_SOURCES + 1).collect()
     if len(sums) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -108,9 +115,9 @@ def plan(docs: DataFrame, tokenizer: str, max_epochs: float | None, entropy: flo
             passes, rest = divmod(due, r.tokens) if r.tokens else (1, 0)
             rows.append((r.source, w[r.source], r.tokens, passes, rest, -(-r.docs // PER_BLOCK)))
         shares = spark.createDataFrame(rows, schema)
-    shares = F.broadcast(shares)  # at most MAX_SOURCES rows
-    width = F.floor(F.lit(1 << 62) / F.col("blocks")) + 1
-    dealt = counted.join(shares, "source").withColumn("block", F.floor(F.col("at") / width)).select("source", "at", "n", "rest", "block")
+    width = F.expr(f"({1 << 62}L DIV blocks) + 1")
+    shares = F.broadcast(shares.withColumn("width", width))  # at most MAX_SOURCES rows
+    dealt = counted.join(shares, "source").withColumn("block", F.expr("at DIV width")).select("source", "at", "n", "rest", "block")
     totals = dealt.groupBy("source", "block").agg(F.sum("n").alias("total"))
     running = totals.withColumn("before", F.coalesce(F.sum("total").over(
         Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -121,17 +128,19 @@ def plan(docs: DataFrame, tokenizer: str, max_epochs: float | None, entropy: flo
     ends = upto.where("sum <= rest").groupBy("source").agg(F.max("at").alias("upto"))
     begins = dealt.join(F.broadcast(last), ["source", "block"]).groupBy("source").agg(F.min("at").alias("first"))
     return (shares.join(F.broadcast(ends), "source", "left").join(F.broadcast(begins), "source", "left")
-            .select("source", "weight", "tokens", "passes", F.coalesce(F.col("upto"), F.col("first") - 1, F.lit(-1)).alias("upto")))
+            .select("source", "weight", "tokens", "passes", F.coalesce(F.col("upto"), F.col("first") - 1, F.lit(-1)).alias("upto"), "width"))
 
 
 def copies(docs: DataFrame, tokenizer: str, max_epochs: float | None = 1.5, entropy: float | None = None,
            budget: float | None = None, seed: int = 5) -> DataFrame:
-    """Adds ``_copies``, how often each row comes, and its source's ``_weight`` to a frame with doc_id, text and source."""
+    """Adds ``_copies``, how often each row comes, its source's ``_weight`` and its ``_block`` to a frame with doc_id, text and source."""
     # One row per source, written so that its size is known; joined by broadcast only while that is small.
     shares = stage(plan(docs, tokenizer, max_epochs, entropy, budget, seed)
-                   .select(F.col("source").alias("_source"), F.col("weight").alias("_weight"), "passes", "upto"), "shares")
-    return (docs.join(shares, F.coalesce("source", F.lit("")) == F.col("_source"))
-            .withColumn("_copies", F.col("passes") + (place(seed) <= F.col("upto")).cast("int")).drop("_source", "passes", "upto"))
+                   .select(F.col("source").alias("_source"), F.col("weight").alias("_weight"), "passes", "upto", "width"), "shares")
+    return (docs.join(shares, source_key() == F.col("_source"))
+            .withColumn("_at", place(seed))
+            .withColumns({"_copies": F.col("passes") + (F.col("_at") <= F.col("upto")).cast("int"), "_block": F.expr("_at DIV width")})
+            .drop("_source", "_at", "passes", "upto", "width"))
 
 
 def mix(docs: DataFrame, tokenizer: str, **how) -> DataFrame:
@@ -140,9 +149,26 @@ def mix(docs: DataFrame, tokenizer: str, **how) -> DataFrame:
     return times.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")
 
 
+def positions(docs: DataFrame, tokenizer: str, seed: int = 5, **how) -> DataFrame:
+    """One row per copy: doc_id, source, weight, copies, and its pass, block and place, each counted from 1.
+
+    A source's copies in order of pass, block and place are its stream; equal rows stand side by side in any order.
+    """
+    keyed = docs.select("doc_id", "text", "source")
+    found = (copies(keyed, tokenizer, seed=seed, **how).where("_copies > 0")
+             .select("doc_id", "source", source_key().alias("key"), place(seed).alias("at"), F.col("_block").alias("drawn"),
+                     F.col("_weight").alias("weight"), F.col("_copies").cast("long").alias("copies")))
+    each = found.withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    # One row per block of thousands of documents; a block's place is found among them, a document's in its block.
+    blocks = (each.groupBy("key", "pass", "drawn").count()
+              .withColumn("block", F.row_number().over(Window.partitionBy("key", "pass").orderBy(F.xxhash64("pass", "drawn", F.lit(seed)), "drawn"))))
+    inside = Window.partitionBy("key", "pass", "drawn").orderBy(F.xxhash64("pass", "at", F.lit(seed)), "at", "doc_id")
+    return (each.withColumn("place", F.row_number().over(inside)).join(blocks.drop("count"), ["key", "pass", "drawn"])
+            .select("doc_id", "source", "weight", "copies", "pass", "block", "place"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each of ``documents`` comes when no source is repeated more than one and a half times."""
+    """Every copy of ``documents``, with its place in its source's stream, when no source is repeated more than one and a half times."""
     import public_tokenizers
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    found = copies(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return found.select("doc_id", "source", F.round("_weight", 9).alias("weight"), F.col("_copies").cast("long").alias("copies"))
+    docs = table(spark, sf_dir, "documents")
+    return positions(docs, public_tokenizers.path("word_bpe_49k.json")).withColumn("weight", F.round("weight", 9))

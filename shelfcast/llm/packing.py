@@ -11,7 +11,8 @@ from running sums, so slabs are filled apart and windows reach across their bord
 
 Defined cases: null text is empty and a document of the end id only; a null source is a source of its
 own; sources without a weight or with weight zero come after all others; repeated rows are documents
-of their own; only the last sequence is not full.
+of their own; a very long text is cut over as many sequences as it fills; only the last sequence is not full; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -79,24 +80,28 @@ def round_robin(queues: dict[str, deque], weight: dict[str, float], deficit: dic
                 waiting.rotate(-1)
 
 
+def queue_name(source: str | None) -> str:
+    """A name for each source's queue; no source has that of null."""
+    return "" if source is None else f"={source}"
+
+
 def plan(lengths: DataFrame, window: int, slab_tokens: int, weights: dict[str, float] | None = None) -> DataFrame:
     """Pieces of documents ``lengths`` (rid, doc_id, source, n): rid, start, length, position in the output."""
     spark = lengths.sparkSession
     totals = lengths.groupBy("source").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    tokens = {r.source or "": 0 for r in totals}
-    for r in totals:
-        tokens[r.source or ""] += r.tokens
+    tokens = {queue_name(r.source): r.tokens for r in totals}
     total = sum(tokens.values())
-    share = {s: (weights.get(s, 0) if weights else t / total) for s, t in tokens.items()}
+    share = {queue_name(r.source): weights.get(r.source, 0) if weights else r.tokens / total for r in totals}
     least = min([w for w in share.values() if w > 0], default=1.0) * 1e-6
     share = {s: w if w > 0 else least for s, w in share.items()}
     # Tokens sent by all sources up to a time: bends where a source has sent its last.
     ends = np.array(sorted({0.0, *(tokens[s] / share[s] for s in share)}))
     volume = sum((np.minimum(tokens[s], share[s] * ends) for s in share), np.zeros_like(ends))
 
-    begin = running_before(lengths.withColumn("source", F.coalesce("source", F.lit(""))).withColumn("_h", F.xxhash64("doc_id", F.lit("pack"))),
+    begin = running_before(lengths.withColumn("source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+                           .withColumn("_h", F.xxhash64("doc_id", "rid", F.lit("pack"))),
                            ["source"], ["_h", "rid"], "n", "before", sum(r.docs for r in totals))
 
     @F.pandas_udf("long")

@@ -62,3 +62,13 @@ def test_odd_rows(spark, odd, none, tokenizer):
     assert packing.pack(none, tokenizer).collect() == []
     weighted = packing.pack(odd, tokenizer, window=64, slab_tokens=1000, weights={"a": 0.9, "b": 0.1}).collect()
     assert sum(p.length for p in weighted) == n
+
+
+def test_a_null_source_is_its_own(spark, tokenizer):
+    docs = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.expr("repeat('a ', 20)").alias("text"),
+                                   F.expr("case when id % 3 = 0 then '' when id % 3 = 1 then 'b' end").alias("source"))
+    rows = packing.pack(docs, tokenizer, window=210, slab_tokens=2100, weights={None: 0.5, "": 0.25, "b": 0.25}).collect()
+    first = [r for r in rows if r.sequence_id < 10]
+    sent = {s: sum(r.length for r in first if r.source == s) for s in (None, "", "b")}
+    assert abs(sent[None] - 1050) <= 63 and abs(sent[""] - 525) <= 63 and abs(sent["b"] - 525) <= 63
+    assert sum(r.length for r in rows) == 300 * 21

@@ -19,7 +19,8 @@ smaller doc_id, or earlier in the same one.  Strings are judged on the input.
    one instead, and equal windows are settled as equal phrases were, in a stream of any length.
 5. Marks become spans per document, and the spans are cut.
 
-Phrases and windows are told apart by anchor and phrase hash together, 128 bits; the index compares bytes.
+Phrases and windows are told apart by anchor and phrase hash together, 128 bits; the index compares bytes.  Texts
+of one doc_id, at most 2^31, are numbered in an order of their hashes, of 128 bits too.
 
 Defined cases: null text is empty; texts under a window's length keep all; rows that repeat doc_id and
 text are one document and fare alike; different texts of one doc_id are ordered by their hash; a null
@@ -36,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import chunks, compressed, mix, rolling, spans_hash, table, text_bytes
+from shelfcast.llm.common import chunks, compressed, mix, rolling, running_before, spans_hash, table, text_bytes
 from shelfcast.sources.staging import stage
 
 WINDOW, K = 100, 24
@@ -299,10 +300,16 @@ def _index(window: int):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_id`` and ``_tag``, which tell documents apart and order them."""
-    several = not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
-    tag = F.shiftrightunsigned(F.xxhash64("text"), 33) if several else F.lit(0).cast("long")
-    return docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)), "_tag": tag})
+    """``docs`` with ``_id`` and ``_tag``, which tell documents apart and order them; tags number the texts of an id."""
+    keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return keyed.withColumn("_tag", F.lit(0).cast("long"))
+    # Two hashes from different seeds: 128 bits.
+    hashed = keyed.withColumns({"_h": F.xxhash64("text"), "_g": F.xxhash64(F.lit("second"), "text")})
+    names = ["_id", "_h", "_g"]
+    texts = stage(hashed.select(*names, F.lit(1).alias("one")).distinct(), "texts")
+    tags = stage(running_before(texts, ["_id"], ["_h", "_g"], "one", "_tag", texts.count()).select(*names, F.col("_tag").cast("long")), "tags")
+    return hashed.join(tags, names).drop("_h", "_g")
 
 
 def _with_equal_flank(phrase: DataFrame) -> DataFrame:

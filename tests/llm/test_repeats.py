@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from data import SF
+from pyspark.sql import functions as F
 
 from shelfcast.llm import repeats
 
@@ -104,6 +105,18 @@ def test_lines_passages_and_edits(spark, how):
     assert [left[i].encode() for i in range(120)] == [np.frombuffer(t, np.uint8)[~m].tobytes() for t, m in zip(data, brute(data))]
 
 
+def test_texts_without_an_id_whose_short_hashes_are_equal(spark):
+    texts = spark.range(400_000).select(F.concat(*[F.sha2(F.concat("id", F.lit(f"/{i}")), 512) for i in range(2)]).alias("text"))
+    pairs = (texts.groupBy(F.shiftrightunsigned(F.xxhash64("text"), 33)).agg(F.collect_list("text").alias("two")).where("size(two) = 2")
+             .limit(3).collect())
+    assert pairs
+    for pair in pairs:
+        frame = spark.createDataFrame([(None, pair.two[0]), (None, pair.two[1]), (1, pair.two[0]), (2, "x" + pair.two[1])], "doc_id long, text string")
+        rows = repeats.remove_repeats(frame.repartition(3)).collect()
+        assert sorted(r.text for r in rows if r.doc_id is None) == sorted(pair.two)
+        assert {r.doc_id: r.text for r in rows if r.doc_id} == {1: "", 2: "x"}
+
+
 def test_odd_rows(spark, odd, none):
     out = repeats.remove_repeats(odd)
     assert out.columns == odd.columns

@@ -13,7 +13,7 @@ from shelfcast.operators.dual import fit_dual, predict_dual
 from shelfcast.operators.features import build_features
 from shelfcast.operators.reshape import build_master, keep_ids, melt_sales, sample_series
 from shelfcast.operators.scoring import model_comparison, per_class_metrics
-from shelfcast.operators.seasonal_arima import ORDER, SEASONAL, best_order, seasonal_arima
+from shelfcast.operators.seasonal_arima import ORDER, SEASONAL, searched_arima, seasonal_arima
 from shelfcast.operators.sequence import fit_sequence, predict_sequence
 from shelfcast.operators.serving import incomplete_models, prediction_coverage
 from shelfcast.sources.raw_files import read_raw
@@ -44,14 +44,14 @@ def predict_one(model: str, features: DataFrame, panel: DataFrame, ids: DataFram
                 orders: tuple | str = (ORDER, SEASONAL)) -> DataFrame:
     """Fits one model on the series of ``ids`` and predicts their days.
 
-    ``orders`` are the two orders of the seasonal model, or ``"search"`` for the best of the order search.
+    ``orders`` are the two orders of the seasonal model, or ``"search"`` for tested differences and the best
+    of the order search for each class of them.
     """
     if model == "prophet":
         wanted = keep_ids(panel, ids)
         return decompose(wanted, holiday_days(panel)).drop("trend")
     if model == "sarima":
-        order, seasonal = orders if orders != "search" else (best_order(panel, ids), SEASONAL)
-        return seasonal_arima(panel, ids, order, seasonal)
+        return searched_arima(panel, ids) if orders == "search" else seasonal_arima(panel, ids, *orders)
     if model == "lgbm":
         fitted, predict = fit_boosted(features, ids), predict_boosted
     elif model == "lstm":

@@ -611,6 +611,54 @@ def _(t):
     return seasonal_arima.seasonal_arima_forecast(t.panel)
 
 
+@query("difference_orders", """
+    SELECT * FROM (WITH valued AS (
+        SELECT id, date, CAST(sales AS DOUBLE) AS y, row_number() OVER w AS rn, count(*) OVER (PARTITION BY id) AS n
+        FROM panel WHERE sales IS NOT NULL WINDOW w AS (PARTITION BY id ORDER BY date)),
+    detrended AS (
+        SELECT *, CASE WHEN count(y) OVER a = 7 THEN y - avg(y) OVER a END AS free
+        FROM valued WHERE n >= 60 WINDOW a AS (PARTITION BY id ORDER BY date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+    weekly AS (SELECT *, free - avg(free) OVER (PARTITION BY id, rn % 7) AS rest FROM detrended),
+    strengths AS (
+        SELECT id, CASE WHEN var_pop(free) > 0 THEN greatest(0, 1 - var_pop(rest) / var_pop(free)) ELSE 0 END AS strength
+        FROM weekly GROUP BY id),
+    s0 AS (
+        SELECT id, date, rn, n, strength, CASE WHEN strength >= 0.64 THEN y - lag(y, 7) OVER w ELSE y END AS v
+        FROM valued JOIN strengths USING (id) WINDOW w AS (PARTITION BY id ORDER BY date)),
+    steps_of AS (
+        SELECT *, 0 AS d FROM s0 UNION ALL
+        SELECT id, date, rn, n, strength, v - lag(v) OVER (PARTITION BY id ORDER BY date) AS v, 1 AS d FROM s0),
+    centred AS (
+        SELECT id, d, n, strength, row_number() OVER w AS t, count(*) OVER (PARTITION BY id, d) AS m,
+               v - avg(v) OVER (PARTITION BY id, d) AS e
+        FROM steps_of WHERE v IS NOT NULL WINDOW w AS (PARTITION BY id, d ORDER BY date)),
+    lagged AS (
+        SELECT a.id, a.d, k, sum(a.e * b.e) AS c
+        FROM centred a, (SELECT unnest(generate_series(0, 14)) AS k), centred b
+        WHERE a.id = b.id AND a.d = b.d AND b.t = a.t - k GROUP BY ALL),
+    spreads AS (SELECT id, d, sum(CASE WHEN k = 0 THEN c ELSE 2 * (1 - k / 15.0) * c END) AS spread FROM lagged GROUP BY id, d),
+    runs AS (SELECT id, d, n, strength, m, sum(e) OVER (PARTITION BY id, d ORDER BY t) AS run FROM centred),
+    levels AS (
+        SELECT id, d, any_value(n) AS n, any_value(strength) AS strength,
+               CASE WHEN any_value(spread) > 0 THEN sum(run * run) / (any_value(m) * any_value(spread)) ELSE 0 END AS stat
+        FROM runs JOIN spreads USING (id, d) GROUP BY id, d),
+    tested AS (
+        SELECT id, any_value(n) AS n, any_value(strength) AS strength, max(stat) FILTER (d = 0) AS level_0,
+               max(stat) FILTER (d = 1) AS level_1
+        FROM levels GROUP BY id)
+    SELECT id, n, round(CAST(strength AS DOUBLE), 6) AS strength, CAST(strength >= 0.64 AS INTEGER) AS seasonal,
+           round(level_0, 6) AS level_0, round(level_1, 6) AS level_1,
+           CAST(CASE WHEN level_0 <= 0.463 THEN 0 WHEN level_1 <= 0.463 THEN 1 ELSE 2 END AS INTEGER) AS plain
+    FROM tested)""")
+def _(t):
+    return rounded(seasonal_arima.difference_orders(t.panel), "strength", "level_0", "level_1")
+
+
+@query("searched_arima")
+def _(t):
+    return seasonal_arima.searched_arima(t.panel)
+
+
 @query("order_search")
 def _(t):
     return seasonal_arima.order_search(t.panel)

@@ -232,6 +232,60 @@ def test_order_search_prefers_the_true_order(series):
     assert table[1, 0]["mean_aic"] < table[0, 0]["mean_aic"]
 
 
+def _simulated(kind, seed, days=1500):
+    r, level, rise, out = random.Random(seed), 0.0, 0.0, []
+    for day in range(days):
+        noise = r.gauss(0, 100)
+        rise = rise + noise if kind == "twice" else noise
+        level += rise
+        out.append(int({"noise": noise, "walk": level, "twice": level, "weekly": 900 * (day % 7 == 2) + noise}[kind]))
+    return out
+
+
+def _level(values, bandwidth=14):
+    """The level test straight from its definition, a sum for each lag."""
+    e = np.asarray(values, float) - np.mean(values)
+    spread = e @ e + sum(2 * (1 - k / (bandwidth + 1)) * (e[k:] @ e[:-k]) for k in range(1, bandwidth + 1))
+    return (e.cumsum() ** 2).sum() / (len(e) * spread) if spread > 0 else 0.0
+
+
+def test_difference_orders_of_four_kinds(series):
+    data = {f"{kind}{i}": _simulated(kind, i) for kind in ("noise", "walk", "twice", "weekly") for i in range(6)}
+    data |= {"flat": [4] * 100, "short": [1, 2, 3], "gaps": [None if i % 9 == 0 else v for i, v in enumerate(_simulated("noise", 9))]}
+    found = {r["id"]: r for r in seasonal_arima.difference_orders(series(data)).collect()}
+    assert found.keys() == data.keys() - {"short"}
+    for name, row in found.items():
+        values = np.array([v for v in data[name] if v is not None], float)
+        left = values[7:] - values[:-7] if row["seasonal"] else values
+        assert row["n"] == len(values)
+        assert row["level_0"] == pytest.approx(_level(left), rel=1e-9)
+        assert row["level_1"] == pytest.approx(_level(np.diff(left)), rel=1e-9)
+        assert row["plain"] == (0 if row["level_0"] <= 0.463 else 1 if row["level_1"] <= 0.463 else 2)
+    assert (found["flat"]["plain"], found["flat"]["seasonal"], found["flat"]["strength"]) == (0, 0, 0.0)
+    wanted = {"noise": (0, 0), "walk": (1, 0), "twice": (2, 0), "weekly": (0, 1)}
+    for kind, (plain, seasonal) in wanted.items():
+        rows = [r for name, r in found.items() if name.startswith(kind)]
+        assert all(r["seasonal"] == seasonal for r in rows), kind
+        assert sum(r["plain"] == plain for r in rows) >= 5, kind  # a test at 5 % may miss one of six
+
+
+def test_searched_arima_gives_each_series_its_differences(series):
+    data = {"w": [v + 2000 for v in _simulated("weekly", 3, 200)], "n": [v + 2000 for v in _simulated("noise", 4, 200)], "s": [5] * 10}
+    panel = series(data)
+    tested = seasonal_arima.difference_orders(panel)
+    orders = seasonal_arima.orders_by_class(panel, tested)
+    assert [(o[1], s[1]) for o, s in orders] == [(0, 0), (0, 1)]
+    rows = seasonal_arima.searched_arima(panel)
+    assert rows.columns == ["id", "date", "sarima_point"]
+    assert {r["id"]: r["count"] for r in rows.groupBy("id").count().collect()} == {"w": 200, "n": 200}
+    assert seasonal_arima.searched_arima(panel.limit(0)).isEmpty()
+
+
+def test_difference_orders_take_one_exchange(series):
+    plan = seasonal_arima.difference_orders(series({"a": _simulated("walk", 1, 80)}))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_decompose(master):
     days = decompose.holiday_days(master)
     preds = decompose.decompose(master, days)

@@ -51,6 +51,13 @@ def test_wrmsse_equal_weights_without_revenue(series):
     assert scoring.wrmsse(preds, master, ["lgbm_point"], 28).first()["WRMSSE"] == pytest.approx((0.5 + 2.0) / 2)
 
 
+def test_wrmsse_covered_has_a_row_for_a_model_without_forecasts(series):
+    master = series({"a": [1, 3] * 50})
+    preds = preds_of(master, lgbm_point=F.lit(2.0), dual_point=F.lit(None).cast("double"))
+    got = {r["col"]: r["WRMSSE"] for r in scoring.wrmsse(preds, master, ["lgbm_point", "dual_point"], covered_only=True).collect()}
+    assert got == {"lgbm_point": pytest.approx(0.5), "dual_point": None}
+
+
 def test_comparison_shape(series):
     master = series({"a": [1, 3] * 50})
     table = scoring.model_comparison(preds_of(master, lgbm_point=F.lit(2.0), sarima_point=F.lit(None).cast("double"),

@@ -131,3 +131,18 @@ def test_forest_text_and_edges():
     again = Forest.parse(forest.dump())
     assert again.edges == [[1.0, 2.0]] and again.codes(np.array([[1.0], [1.5], [9.0]])).ravel().tolist() == [0, 1, 2]
     assert again.margins(again.codes(np.array([[0.0], [7.0]]))).ravel().tolist() == [11.5, 8.0] and not math.isnan(again.errors[0][1])
+
+
+def test_splits_of_a_turn_are_found_in_tasks(matrix, monkeypatch):
+    """The driver searches no split itself, a task for each loss does; the trees repeat."""
+    plain = boosting.boost(matrix, NAMES, "sales", [0.5, 0.9], 3, 3, 6, 5)
+    here, search = [], boosting.split_sample
+
+    def noted(*args):
+        here.append(1)
+        return search(*args)
+
+    monkeypatch.setattr(boosting, "split_sample", noted)
+    again = boosting.boost(matrix, NAMES, "sales", [0.5, 0.9], 3, 3, 6, 5)
+    assert not here and [[t.lists() for t in k] for k in again.trees] == [[t.lists() for t in k] for k in plain.trees]
+    assert [len(k) for k in plain.trees] == [3, 3]

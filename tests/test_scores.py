@@ -138,6 +138,15 @@ def test_missing_forecast_blends_as_zero(spark):
     assert blend.apply_blend(merged, weights).first()["ensemble_point"] == 3.0
 
 
+def test_a_half_thousandth_goes_up(spark):
+    """2661 x 0.9831 + 2644 x 0.0161 + 2745 x 0.0008 is 2660.7935, in doubles one bit less."""
+    merged = spark.createDataFrame([("x", DAY, 2600.0, 2661.0, 2644.0, 2745.0, 2591.429, "Smooth")],
+                                   "id string, date date, actual double, lgbm_point double, prophet_point double, sarima_point double, lstm_point double, demand_class string")
+    shares = {"lgbm_point": 0.9831, "prophet_point": 0.0161, "sarima_point": 0.0008, "lstm_point": 0.0}
+    weights = spark.createDataFrame([("Smooth", m, w) for m, w in shares.items()], "demand_class string, model string, weight double")
+    assert blend.apply_blend(merged, weights).first()["ensemble_point"] == 2660.794
+
+
 def test_weights_all_zero_give_zero(spark):
     merged = merged_frame(spark, [("x", DAY, 1.0, 2.0, 4.0, "Lumpy")])
     weights = spark.createDataFrame([("Lumpy", "lgbm_point", 0.0), ("Lumpy", "dual_point", 0.0)], "demand_class string, model string, weight double")

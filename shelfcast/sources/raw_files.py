@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,13 +59,30 @@ def read_raw(spark: SparkSession, folder: str) -> RawFiles:
 
 
 def widen(sales: DataFrame) -> DataFrame:
-    """Long daily sales to one row per series with a column per day.
+    """Long daily sales to one row per series with a column per day; a day without a row is NULL.
 
     Days are the columns of the result, so their names (one per calendar day) are listed first.
+    Each series is folded into one array with a place per day, and only then become places columns:
+    a task over thousands of columns costs seconds before its first row, so the narrow rows are
+    exchanged in between, where adaptive merging leaves as many tasks as they need.  Of several
+    rows for a day the largest counts.
     """
-    days = [r["d"] for r in sales.select("d").distinct()
+    days = [r["d"] for r in sales.select("d").distinct().filter(F.col("d").isNotNull())
             .orderBy(F.substring_index("d", "_", -1).cast("int")).collect()]
-    return sales.groupBy(*ID_COLS).pivot("d", days).agg(F.first("sales"))
+    places = sales.sparkSession.createDataFrame(pd.DataFrame({"place": range(len(days)), "d": days}), "place int, d string")
+    kind, n = sales.schema["sales"].dataType.simpleString(), len(days)
+    after = f"coalesce(get(sold, i + 1).place, {n})"
+    folded = (
+        sales.join(F.broadcast(places), "d", "left").groupBy(*ID_COLS)
+        .agg(F.sort_array(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "sales")))).alias("sold"))
+        # Each row brings its cell and the empty ones up to the next row.
+        .select(*ID_COLS, F.expr(f"""
+            flatten(concat(array(array_repeat(CAST(NULL AS {kind}), coalesce(get(sold, 0).place, {n}))),
+                transform(sold, (s, i) -> CASE WHEN {after} = s.place THEN array()
+                    ELSE concat(array(s.sales), array_repeat(CAST(NULL AS {kind}), {after} - s.place - 1)) END)))""").alias("cells"))
+        .repartition(*ID_COLS)
+    )
+    return folded.selectExpr(*ID_COLS, *[f"cells[{i}] AS `{day}`" for i, day in enumerate(days)])
 
 
 def write_raw(folder: str, sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> None:

@@ -79,6 +79,28 @@ def test_melt(spark):
     assert {(r["d"], r["sales"]) for r in melt_sales(wide, ["id"]).collect()} == {("d_1", 1), ("d_2", 0), ("d_10", 3)}
 
 
+LONG = "id string, item_id string, dept_id string, cat_id string, store_id string, state_id string, d string, sales bigint"
+
+
+def test_widen_keeps_series_with_gaps(spark):
+    meta = ["i", "d", "c", "s", "CA"]
+    rows = [("a", *meta, "d_1", 5), ("a", *meta, "d_10", 7), ("b", *meta, "d_2", None), ("b", *meta, "d_10", 3),
+            ("c", *meta, None, 8), (None, *meta, "d_2", 9)]
+    wide = raw_files.widen(spark.createDataFrame(rows, LONG))
+    assert wide.columns[6:] == ["d_1", "d_2", "d_10"]
+    assert {r["id"]: tuple(r)[6:] for r in wide.collect()} == {
+        "a": (5, None, 7), "b": (None, None, 3), "c": (None, None, None), None: (None, 9, None)}
+    assert raw_files.widen(spark.createDataFrame([], LONG)).collect() == []
+
+
+def test_wide_rows_take_tasks_by_their_size(spark):
+    """Each task over thousands of columns costs seconds, so they must not follow the partitions of the long rows."""
+    meta = ["i", "d", "c", "s", "CA"]
+    long = spark.createDataFrame([(f"x{i}", *meta, f"d_{j}", i + j) for i in range(40) for j in range(1, 6)], LONG)
+    wide = raw_files.widen(long.repartition(64, "id"))
+    assert wide.rdd.getNumPartitions() <= 4 and wide.count() == 40
+
+
 def test_store(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     df = spark.createDataFrame([(1, "a")], "n int, s string")

@@ -44,3 +44,21 @@ def test_odd_vectors(spark):
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [
         (0, 1, 1, 1.0), (0, 2, 2, 0.5), (0, 3, 10, -1.0), (10, 1, 2, -0.5), (10, 2, 0, -1.0), (10, 3, 1, -1.0), (20, 1, 9, 1.0)]
     assert collision.nearest(frame.limit(0), F.col("vec_id") % 10 == 0).collect() == []
+
+
+def test_most_rows_are_left_out():
+    """Random unit vectors of 64 numbers, the hardest case; 0.73 of the rows were verified with windows around any projections."""
+    vectors = np.random.default_rng(5).normal(size=(8000, 64))
+    vectors /= np.sqrt((vectors ** 2).sum(axis=1))[:, None]
+    index = collision.Index(np.arange(8000), vectors, 1 + 1e-9, lines=512, seed=7)
+    queries = np.arange(0, 8000, 160)
+    found = index.search(queries, vectors[queries], k=20, held=20, projections=24, threshold=0.375, miss=0.01, first=1.3, grow=1.05)
+    hit = sum(len(set(ids.tolist()) & set(brute(range(8000), vectors, q, 20))) for q, (ids, _) in zip(queries.tolist(), found))
+    assert hit / (20 * len(queries)) >= 0.98
+    assert index.verified <= 0.5 * len(vectors) * len(queries)
+
+
+def test_most_held():
+    assert collision.most_held(20, 1) == 20 and collision.most_held(20, 10 ** 9) == 1
+    dealt = np.random.default_rng(1).binomial(20, 1 / 7, 100_000)
+    assert (dealt > collision.most_held(20, 7)).mean() < 2 * collision.LATE < (dealt > collision.most_held(20, 7) - 2).mean()

@@ -146,3 +146,59 @@ def test_splits_of_a_turn_are_found_in_tasks(matrix, monkeypatch):
     again = boosting.boost(matrix, NAMES, "sales", [0.5, 0.9], 3, 3, 6, 5)
     assert not here and [[t.lists() for t in k] for k in again.trees] == [[t.lists() for t in k] for k in plain.trees]
     assert [len(k) for k in plain.trees] == [3, 3]
+
+
+def test_every_row_counts_for_bins_and_splits(matrix, monkeypatch):
+    """Bins are those of all training rows, and trees are the same however few rows a task may hold."""
+    train = np.stack([r.features.toArray() for r in matrix.where("NOT is_val").select("features").collect()])
+    whole = boosting.boost(matrix, NAMES, "sales", [0.9], 2, 3, 4, 5)
+    assert whole.edges == boosting.quantile_edges(train) and len(whole.edges[2]) == boosting.BINS - 1
+    monkeypatch.setattr(boosting, "SAMPLE", 50)
+    dealt = boosting.boost(matrix, NAMES, "sales", [0.9], 2, 3, 4, 5)
+    assert dealt.dump() == whole.dump()
+
+
+def test_rare_rows_are_split_off(spark):
+    """25 of 100,000 rows, too few to be seen in a sample of a third, get a leaf of their own."""
+    rows = spark.range(100_000).select(F.col("id").cast("string").alias("id"), F.lit("2020-01-01").cast("date").alias("date"),
+                                       (F.col("id") % 4000 == 7).cast("double").alias("rare"), (F.col("id") % 10).cast("double").alias("other"))
+    rows = rows.select("id", "date", F.array("rare", "other").alias("v"), (F.col("rare") * 1000 + F.col("other")).alias("sales"))
+    forest = boosting.boost(rows.select("id", "date", "sales", array_to_vector("v").alias("features")), ["rare", "other"], "sales", [0.5], 30, 9, 12, 15)
+    margins = forest.margins(forest.codes(np.array([[0.0, 4.0], [1.0, 7.0]])))[:, 0]
+    assert margins[1] > margins[0] + 100
+
+
+def brute_tree(codes, y, margin, q, leaves, leaf_rows):
+    """Nested splits by trying every column and cut, best gain first: the rows of each leaf."""
+    def split(rows):
+        best = (0.0, None, None)
+        for f in range(codes.shape[0]):
+            for c in range(boosting.BINS):
+                sides = rows[codes[f][rows] <= c], rows[codes[f][rows] > c]
+                if min(map(len, sides)) >= leaf_rows:
+                    g = [np.where(y[r] > margin[r], q, q - 1).sum() ** 2 / len(r) for r in (*sides, rows)]
+                    if g[0] + g[1] - g[2] > best[0] + 1e-9:
+                        best = (g[0] + g[1] - g[2], *sides)
+        return best
+
+    waiting = [(*split(np.arange(len(y))), np.arange(len(y)))]
+    while len(waiting) < leaves:
+        waiting.sort(key=lambda w: -w[0])
+        if waiting[0][1] is None:
+            break
+        _, *sides, _ = waiting.pop(0)
+        waiting += [(*split(r), r) for r in sides]
+    return sorted(w[3].tolist() for w in waiting)
+
+
+def test_tree_against_trying_every_split():
+    r = np.random.default_rng(3)
+    codes, margin = r.integers(0, [[8], [64], [3]], (3, 400)).astype(np.uint8), r.integers(0, 9, 400) / 4
+    y = codes[0] * 2.0 + (codes[1] > 40) * 9 + r.integers(0, 12, 400)
+    for q in (0.5, 0.9):
+        tree, leaf = boosting.split_sample(codes, y, margin, Loss(q), np.ones(400, bool), np.arange(3), 9, 8, lambda part: part[None])
+        assert sorted(np.flatnonzero(leaf == i).tolist() for i in np.unique(leaf)) == brute_tree(codes, y, margin, q, 9, 8)
+        assert (tree.leaf(codes.T) == leaf).all()
+        values = boosting.leaf_values(Loss(q), leaf, len(tree.feature), y, margin, lambda part: part[None])
+        for i in np.unique(leaf):
+            assert values[i] == pytest.approx(np.quantile(np.round((y - margin)[leaf == i] * boosting.GRID) / boosting.GRID, q))

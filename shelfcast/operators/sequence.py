@@ -13,7 +13,7 @@ from shelfcast.operators.features import by_series
 from shelfcast.operators.reshape import scan_features
 from shelfcast.sources.staging import stage
 
-# Inputs, window length and training stride.
+# Inputs, window length, and rows beyond it that a series must have to be trained on.
 SEQUENCE_COLS = [
     "sales_lag_7", "sales_lag_14", "sales_lag_28",
     "rolling_mean_7", "rolling_mean_28", "rolling_std_7",
@@ -22,7 +22,6 @@ SEQUENCE_COLS = [
     "sell_price", "rolling_nonzero_rate_28",
 ]
 LENGTH = 28
-STRIDE = 7
 SPARE_ROWS = 10
 
 
@@ -78,8 +77,8 @@ def _standardised(rows: DataFrame, stats: dict[str, tuple[float, float]]) -> Dat
 
 
 def fit_sequence(features: DataFrame, ids: DataFrame | None = None, val_days: int = 28, length: int = LENGTH,
-                 stride: int = STRIDE, iterations: int = 50) -> Sequence:
-    """Scales on training rows, takes a window every ``stride`` rows, fits with Huber loss."""
+                 stride: int = 1, iterations: int = 50) -> Sequence:
+    """Scales on training rows, takes the window of every row (or of every ``stride``-th, if asked), fits with Huber loss."""
     rows = scan_features(features, SEQUENCE_COLS, ids)
     train = rows.filter(F.col("date") <= F.date_sub(rows.agg(F.max("date")).scalar(), val_days))
     cols = [c for c in SEQUENCE_COLS if c in features.columns]

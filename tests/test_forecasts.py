@@ -121,6 +121,19 @@ def test_sequence(spark, master, features, tmp_path):
     assert preds.join(again.withColumnRenamed("lstm_point", "p"), ["id", "date"]).filter("abs(lstm_point - p) > 1e-9").isEmpty()
 
 
+def test_sequence_is_fitted_on_every_window(spark, features, monkeypatch):
+    """A series has a window for each row after its first 28 with all lags, as far as the training days go."""
+    staged, own = [], sequence.stage
+
+    def noted(df, name):
+        staged.append(own(df, name))
+        return staged[-1]
+
+    monkeypatch.setattr(sequence, "stage", noted)
+    sequence.fit_sequence(features, val_days=20, iterations=2)
+    assert staged[-1].count() == 2 * (DAYS - 56 - 20 - 28)
+
+
 def test_arima_beats_naive_and_skips_short(spark, master):
     short = master.filter((F.col("id") == SPARSE) & (F.col("date") < FIRST + dt.timedelta(days=50))).withColumn("id", F.lit("short"))
     preds = seasonal_arima.seasonal_arima(master.unionByName(short))

@@ -196,9 +196,16 @@ def test_tree_against_trying_every_split():
     codes, margin = r.integers(0, [[8], [64], [3]], (3, 400)).astype(np.uint8), r.integers(0, 9, 400) / 4
     y = codes[0] * 2.0 + (codes[1] > 40) * 9 + r.integers(0, 12, 400)
     for q in (0.5, 0.9):
-        tree, leaf = boosting.split_sample(codes, y, margin, Loss(q), np.ones(400, bool), np.arange(3), 9, 8, lambda part: part[None])
+        tree, leaf = boosting.split_sample(codes.T, y, margin, Loss(q), np.ones(400, bool), np.arange(3), 9, 8, lambda part: part[None])
         assert sorted(np.flatnonzero(leaf == i).tolist() for i in np.unique(leaf)) == brute_tree(codes, y, margin, q, 9, 8)
         assert (tree.leaf(codes.T) == leaf).all()
         values = boosting.leaf_values(Loss(q), leaf, len(tree.feature), y, margin, lambda part: part[None])
         for i in np.unique(leaf):
             assert values[i] == pytest.approx(np.quantile(np.round((y - margin)[leaf == i] * boosting.GRID) / boosting.GRID, q))
+
+
+def test_predictions_are_dealt_to_several_tasks(matrix):
+    """A table in one file is not looked through by one task."""
+    forest = Forest(NAMES, [[1.0]] * 3, [0.5], [2.0], [[]])
+    found = forest.predict(matrix.coalesce(1), ["id"])
+    assert found.select(F.spark_partition_id()).distinct().count() > 1 and found.where("margins[0] = 2").count() == 4000

@@ -209,3 +209,15 @@ def test_predictions_are_dealt_to_several_tasks(matrix):
     forest = Forest(NAMES, [[1.0]] * 3, [0.5], [2.0], [[]])
     found = forest.predict(matrix.coalesce(1), ["id"])
     assert found.select(F.spark_partition_id()).distinct().count() > 1 and found.where("margins[0] = 2").count() == 4000
+
+
+def test_round_errors_do_not_depend_on_the_order_of_rows(spark):
+    """Parts whose float sums differ with their order give one mean."""
+    forest, codes = Forest(["a"], [[0.0]], [0.5], [0.0], [[]]), bytes([0])
+    draw = random.Random(5)
+    values = [draw.uniform(0, 1) * 10 ** (i % 7) for i in range(900)]
+    means = set()
+    for order in (values, values[::-1], sorted(values)):
+        rows = spark.createDataFrame([(codes, v, 0.0, True) for v in order], "codes binary, y double, m0 double, is_val boolean")
+        means.add(boosting.round_errors(rows, forest)[0][0])
+    assert len(means) == 1 and means.pop() == pytest.approx(sum(values) / 1800)
